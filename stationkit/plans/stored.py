@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,11 @@ class StoredTable:
     df: DataFrame
     rows: int
     bytes: int
+    seen: dict[str, Any] = field(default_factory=dict)
+
+    def view(self, df: DataFrame) -> StoredTable:
+        """A projection or filter of the stored rows, for which the size still bounds."""
+        return StoredTable(df, self.rows, self.bytes, self.seen)
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -57,8 +63,12 @@ def _row_bytes(df: DataFrame) -> Column:
     return sum(texts, F.lit(width).cast("bigint"))
 
 
-def store(df: DataFrame, label: str) -> StoredTable:
-    """Write a DataFrame to the shared folder; its size is observed in the same job."""
+def store(df: DataFrame, label: str, **measures: Column) -> StoredTable:
+    """Write a DataFrame to the shared folder.
+
+    Its size, and any further aggregate asked for by name, is observed in the
+    same job.
+    """
     spark = df.sparkSession
     seen = Observation()
     path = fresh_path(spark, label)
@@ -66,7 +76,9 @@ def store(df: DataFrame, label: str) -> StoredTable:
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"),
+        *(measure.alias(name) for name, measure in measures.items()),
     )
     counted.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
-    return StoredTable(stored, seen.get["rows"], seen.get["bytes"])
+    numbers = seen.get
+    return StoredTable(stored, numbers["rows"], numbers["bytes"], numbers)
