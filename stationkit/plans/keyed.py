@@ -1,4 +1,4 @@
-"""Joining a one-row-per-key table to many rows, safely at any size or skew."""
+"""Joining a key table to many rows, safely at any size or skew."""
 
 from __future__ import annotations
 
@@ -86,7 +86,7 @@ def attach(
     weight: str | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Join ``table`` (one row per key) to ``rows``.
+    """Join a key table to ``rows``; any key may hold any share of the rows.
 
     The table is stored first, which reveals its size. A small one is broadcast
     and the rows never move; a larger one goes through a shuffle join with heavy
