@@ -148,7 +148,8 @@ _CORR = f"""{_STATIONS}, {_edges(CLOSE)}, levels AS (
   SELECT station_id, pollutant, date_trunc('day', last_updated) AS bucket, avg(value) AS level
   FROM readings JOIN stations USING (city, location) GROUP BY ALL),
 correlated AS (
-  SELECT src, dst, a.pollutant, corr(a.level, b.level) AS corr, count(*) AS overlap
+  SELECT src, dst, a.pollutant, CASE WHEN var_pop(a.level) > 0 AND var_pop(b.level) > 0
+    THEN corr(a.level, b.level) END AS corr, count(*) AS overlap
   FROM edges JOIN levels a ON a.station_id = src
     JOIN levels b ON b.station_id = dst AND b.pollutant = a.pollutant AND b.bucket = a.bucket
   GROUP BY ALL HAVING count(*) >= {MIN_OVERLAP})"""
@@ -215,7 +216,8 @@ QUERIES = {
         similar_stations,
         f"""WITH {_CORR}, both_ways AS (
           SELECT src AS station_id, dst AS partner_id, pollutant, corr, overlap FROM correlated
-          UNION ALL SELECT dst, src, pollutant, corr, overlap FROM correlated),
+          WHERE corr IS NOT NULL
+          UNION ALL SELECT dst, src, pollutant, corr, overlap FROM correlated WHERE corr IS NOT NULL),
         ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY station_id, pollutant
           ORDER BY round(corr, 9) DESC, partner_id) AS INTEGER) AS rank FROM both_ways)
         SELECT station_id, partner_id, pollutant, {r4("corr")}, overlap, rank

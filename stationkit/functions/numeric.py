@@ -18,6 +18,15 @@ def z_score(value: Column, mean: Column, std: Column) -> Column:
     return F.when(std > 0, (value - mean) / std).otherwise(0.0)
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over the rows that have both; null if either is constant.
+
+    The built-in one raises a division by zero for a constant column.
+    """
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def settle(value: Column, digits: int = 4) -> Column:
     """Round with a small nudge so that summation order cannot flip an exact tie."""
     return F.round(value + F.lit(1e-7), digits)

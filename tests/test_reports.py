@@ -20,6 +20,12 @@ def test_correlation_modes(spark):
         relations.pollutant_corr(wide(spark), missing="drop")
 
 
+def test_constant_column_has_no_correlation(spark):
+    flat = wide(spark).withColumn("b", F.lit(3.0))
+    for mode in ("zero", "pairwise"):
+        assert relations.pollutant_corr(flat, missing=mode).first().corr is None
+
+
 def test_pivot_finds_its_columns(make_readings):
     rows = make_readings([("a", "b", p, v, 0) for p, v in (("O3", 1.0), ("O3", 3.0), ("NO2", 4.0))])
     row = relations.pollutant_pivot(rows).first()
