@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 
 def ascii_only(text: Column) -> Column:
     """Drop every character outside 7-bit ASCII."""
-    return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    return F.regexp_replace(text, r"[^\x00-\x7F]+", "")
+
+
+def has_ascii(text: Column) -> Column:
+    """True if something but spaces is left by ``ascii_only``."""
+    return text.rlike(r"[\x00-\x1F\x21-\x7F]")
+
+
+def has_words(text: Column) -> Column:
+    """True if something is left by ``slug``."""
+    return text.rlike("[A-Za-z0-9]")
 
 
 def slug(text: Column) -> Column:

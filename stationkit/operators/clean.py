@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -50,8 +51,8 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 def split_categories(df: DataFrame, column: str = "pollutant", sep: str = ",") -> DataFrame:
     """One row per label of a multi-valued column; empty labels are dropped."""
-    labels = F.transform(F.split(column, sep), lambda label: F.trim(label))
-    return df.withColumn(column, F.explode(F.filter(labels, lambda label: label != "")))
+    labels = F.split(F.trim(column), f" *{re.escape(sep)} *")
+    return df.withColumn(column, F.explode(labels)).where(F.col(column) != "")
 
 
 def _cap(label: Column, caps: Mapping[str, float]) -> Column:
@@ -103,28 +104,33 @@ def min_group_rows(
     )
 
 
-def ingest_rows(
-    raw: DataFrame,
-    caps: Mapping[str, float] = POLLUTANT_CAPS,
-    explode_categories: bool = True,
-) -> DataFrame:
-    """Row-wise part of ingestion: project, strip, blank to null, drop, range check.
+def _complete(rows: DataFrame, named: Callable[[Column], Column]) -> DataFrame:
+    """Rows with a usable name at both station levels, a label, a value and a time.
+
+    Testing the names as they came, before they are rewritten, gives the same
+    rows as rewriting, blanking and dropping; but a filter on rewritten text
+    would be pushed below the rewrite and repeat its expressions.
+    """
+    usable = named(F.col("city")) & named(F.col("location")) & ~text.is_blank(F.col("pollutant"))
+    return drop_missing(rows.where(usable), ["value", "last_updated"])
+
+
+def ingest_rows(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) -> DataFrame:
+    """Row-wise part of ingestion: project, drop incomplete, split, range check, strip.
 
     Labels are split before the range check, so each part is checked on its own.
-    There is no shuffle here, so the same function serves batch and streams.
     """
-    rows = to_readings(raw).withColumns(
-        {c: text.ascii_only(F.col(c)) for c in ("city", "location")}
-    )
-    rows = drop_missing(blank_to_null(rows))
-    if explode_categories:
-        rows = split_categories(rows)
-    return range_filter(rows, caps)
+    rows = _complete(to_readings(raw), text.has_ascii)
+    checked = range_filter(split_categories(rows), caps)
+    return checked.withColumns({c: text.ascii_only(F.col(c)) for c in ("city", "location")})
 
 
 def normal_rows(readings: DataFrame) -> DataFrame:
-    """Row-wise part of normalisation: text forms, then drop what became blank."""
-    return drop_missing(blank_to_null(normalize_text(readings)))
+    """Row-wise part of normalisation: drop incomplete rows, rewrite the text.
+
+    There is no shuffle here, so the same function serves batch and streams.
+    """
+    return normalize_text(_complete(readings, text.has_words))
 
 
 def ingest_clean(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) -> DataFrame:
@@ -140,6 +146,8 @@ def clean_readings(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) -
     """Raw table to normalised distinct readings.
 
     Rows that are equal before normalising are equal after it, so one duplicate
-    removal at the end does the work of one per stage.
+    removal at the end does the work of one per stage; the slug strips to ASCII
+    itself, so every name is rewritten once.
     """
-    return dedupe(normal_rows(ingest_rows(raw, caps)))
+    rows = _complete(to_readings(raw), text.has_words)
+    return dedupe(normalize_text(range_filter(split_categories(rows), caps)))

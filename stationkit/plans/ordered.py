@@ -12,22 +12,30 @@ from stationkit.plans.stored import store
 
 
 def running_total(
-    df: DataFrame, order: Sequence[str | Column], amount: Column, name: str, block: str
+    df: DataFrame,
+    order: Sequence[str | Column],
+    amount: Column,
+    name: str,
+    block: str,
+    single: bool = False,
 ) -> DataFrame:
     """Running sum of ``amount`` in ``order``, the row itself included.
 
     ``block`` is a column whose values cut the order into consecutive runs. Each
     run is summed on its own; the totals of the runs before it, one row per
     block, are added from a broadcast. Callers keep the number of blocks small.
+    ``single`` says that there is only one block, with nothing before it.
     """
     within = Window.partitionBy(block).orderBy(*order)
+    rows_so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if single:
+        return df.withColumn(name, F.sum(amount).over(rows_so_far))
     totals = df.groupBy(block).agg(F.sum(amount).alias("_total"))
     # One task, over one row per block.
     before = Window.partitionBy(F.lit(0)).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         block, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before")
     )
-    rows_so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         df.withColumn("_within", F.sum(amount).over(rows_so_far))
         .join(F.broadcast(offsets), block)

@@ -82,7 +82,10 @@ def test_one_dedupe_equals_one_per_stage(spark):
     raw = spark.createDataFrame(
         [("FR", c, loc, "", p, "", "", v, None, "") for c, loc, p, v in [
             ("Lyon", "A", "O3", 1.0), ("LYON", "A", "O3", 1.0), ("Lyon", "A", "O3", 1.0),
-            ("Lyon", " ", "O3", 1.0), ("Lyon", "A", "O3,NO2", 2.0)]],
+            ("Lyon", " ", "O3", 1.0), ("Lyon", "A", "O3,NO2", 2.0), ("###", "A", "O3", 3.0),
+            ("\t", "A", "O3", 4.0), ("東京", "A", "O3", 5.0), ("é ", "A", "O3", 6.0),
+            ("Lyon", "A", "", 7.0), ("Lyon", "A", "O3", None), ("Lyon", "A", "O3", math.nan),
+            (None, "A", "O3", 8.0), ("Lyon", "A", None, 9.0)]],
         RAW_SCHEMA,
     ).withColumn("Last Updated", F.timestamp_seconds(F.lit(60)))
     once = clean.clean_readings(raw)
@@ -91,6 +94,18 @@ def test_one_dedupe_equals_one_per_stage(spark):
     assert once.count() == 3
 
 
+def test_early_name_test_equals_rewrite_then_drop(spark, make_readings):
+    names = ["Lyon", "###", "\t", "東京", "é ", " ", "", None, "K", "a\u2014b", "1"]
+    rows = make_readings([(n, "A", "O3", 1.0, 0) for n in names])
+    late = clean.drop_missing(clean.blank_to_null(clean.normalize_text(rows)))
+    early = clean.normal_rows(rows)
+    assert sorted(r.city for r in early.collect()) == sorted(r.city for r in late.collect())
+    stripped = rows.withColumn("city", text.ascii_only(F.col("city")))
+    late = clean.drop_missing(clean.blank_to_null(stripped))
+    early = rows.where(text.has_ascii(F.col("city"))).count()
+    assert early == late.count()
+
+
 def test_clean_result_has_no_missing_and_no_duplicates(spark):
     from stationkit.catalog.base import raw
 
