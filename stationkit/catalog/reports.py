@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stationkit.catalog.base import DATED, FEATURES, READINGS, Query, r4, readings, shown
 from stationkit.operators import features, relations
 from stationkit.operators import reports as ops
-from stationkit.plans import pipeline
+from stationkit.plans import flow
 
 # The event types, named so that the pivot needs no job to find them.
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -54,8 +54,8 @@ def hour_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 def reports_from_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Two of the reports derived from one stored rollup of the readings."""
-    cells = pipeline.rollup(features.calendar_features(readings(spark, folder)))
-    derived = pipeline.reports_from_rollup(cells)
+    cells = flow.rollup(features.calendar_features(readings(spark, folder)))
+    derived = flow.reports_from_rollup(cells)
     stations = derived["station_exposure"].select(
         F.concat_ws("/", "city", "location").alias("name"), F.col("avg_pollution").alias("level")
     )

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 from stationkit.catalog.base import raw
 from stationkit.operators import clean
 from stationkit.operators.features import FEATURE_COLUMNS
-from stationkit.plans import pipeline
+from stationkit.plans import flow
 from stationkit.sources import files
 
 
@@ -10,7 +10,7 @@ def test_files_to_features(spark, tmp_path):
     source = raw(spark, "/root/testdata/sf0.001")
     spoiled = F.when(F.col("Pollutant") == "pm10", "n/a").otherwise(F.col("Value").cast("string"))
     files.write_csv(source.withColumn("Value", spoiled), str(tmp_path / "in"))
-    done = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    done = flow.run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     expected = clean.clean_readings(source)
     assert done.readings.select(expected.columns).exceptAll(expected).count() == 0
     assert done.quarantine.count() == source.where("Pollutant = 'pm10'").count()

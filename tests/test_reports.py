@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 from stationkit.operators import features, relations, reports
-from stationkit.plans import pipeline
+from stationkit.plans import flow
 
 
 def wide(spark):
@@ -52,8 +52,8 @@ def test_rollup_gives_the_same_reports(spark):
     from stationkit.catalog.base import readings
 
     dated = features.calendar_features(readings(spark, "/root/testdata/sf0.001"))
-    derived = pipeline.reports_from_rollup(pipeline.rollup(dated))
-    for name, direct in pipeline.reports_from_features(dated).items():
+    derived = flow.reports_from_rollup(flow.rollup(dated))
+    for name, direct in flow.reports_from_features(dated).items():
 
         def rounded(df, columns=direct.columns, types=dict(direct.dtypes)):
             return df.select(
