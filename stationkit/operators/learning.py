@@ -181,7 +181,7 @@ def feature_ranking(prepared: Prepared, trees: int = TREES) -> DataFrame:
     forest = RandomForestRegressor(
         labelCol=LABEL, featuresCol="features", numTrees=trees, seed=SEED
     )
-    importances = forest.fit(_spread(train.select(LABEL, "features"))).featureImportances.toArray()
+    importances = forest.fit(train.select(LABEL, "features")).featureImportances.toArray()
     totals = dict.fromkeys(prepared.features, 0.0)
     for column, importance in zip(_slots(train, "features"), importances, strict=True):
         totals[column] += float(importance)
@@ -215,12 +215,6 @@ def _metrics(predictions: DataFrame, label: str, columns: dict[str, str]) -> Dat
     return predictions.agg(all_scores.alias("_scores")).select(F.inline("_scores"))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use every core for training that passes over the rows many times."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def regressors(label: str, features: str) -> dict[str, object]:
     """The four compared estimators by name."""
     common = {"labelCol": label, "featuresCol": features}
@@ -243,7 +237,7 @@ def compare_models(
     """
     fitted: dict[str, Model] = {}
     predicted = test
-    train = _spread(train.select(label, features)).persist()
+    train = train.select(label, features).persist()
     for name, estimator in regressors(label, features).items():
         model = estimator.fit(train)
         fitted[name] = model.setPredictionCol(f"_{name}")
