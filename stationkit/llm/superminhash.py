@@ -30,6 +30,9 @@ SLOTS = 128
 BROADCAST_ROWS = 1 << 20
 # Shingles worked on at once, for memory.
 _PART = 1 << 17
+# Texts in a block of a cluster, and columns of a matrix, that one task compares at once.
+_BLOCK = 256
+_COLUMNS = 1 << 13
 _HALF = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -177,7 +180,7 @@ def _only(docs: DataFrame, ids: DataFrame, rows: int, how: str = "left_semi") ->
 
 
 def _second_look(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that lie in different groups and may still be similar.
+    """Links between texts of one bucket that still lie in different groups.
 
     ``members`` has ``key, id, n, component`` of all buckets with several groups.
     A pair can share only shingles that at least two of these texts have. If s
@@ -185,7 +188,7 @@ def _second_look(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     m shingles is at most s / (n + m - s), and m is at least the threshold times
     n and the smallest set in the bucket. Texts below the threshold are done.
     That ends the large buckets of texts that share one passage, and of loose
-    copies, without looking at pairs.
+    copies, without looking at pairs. The few texts left are compared in blocks.
     """
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     items = sets.join(ids, "doc_id", "left_semi").select(
@@ -210,15 +213,66 @@ def _second_look(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         .where("low < high").select("key")
     )
     open_rows = alive.join(mixed, "key", "left_semi")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    most = F.least("x.s", "y.s")
-    near = (
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.id") > F.col("y.id"))
-        & (F.col("x.component") != F.col("y.component"))
-        & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent)
+    heads = open_rows.groupBy("key").agg(F.min("id").alias("head"))
+    near = components(open_rows.join(heads, "key").select("id", "head"))
+    texts = (
+        open_rows.select("id", "component").distinct()
+        .join(near.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
+        .join(sets.select(F.col("doc_id").alias("id"), "items"), "id")
     )
-    return x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return _compared_in_blocks(texts, percent)
+
+
+def _compared_in_blocks(texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of a cluster, enough to join them.
+
+    A cluster is dealt out in blocks of about ``_BLOCK`` texts, and each pair of
+    blocks is compared as one matrix product. Only a spanning forest of the
+    links leaves a task, never all pairs.
+    """
+    sizes = texts.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
+    dealt = texts.join(sizes, "cluster").withColumn(
+        "own", F.pmod(F.xxhash64("id"), F.col("blocks"))
+    )
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "id", "component", "items",
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows = group.select(["id", "component", "items"]).combine_chunks().to_pydict()
+        ids, items = rows["id"], [np.asarray(x, dtype=np.int64) for x in rows["items"]]
+        n = np.array([len(x) for x in items])
+        _, column = np.unique(np.concatenate(items), return_inverse=True)
+        row = np.repeat(np.arange(len(ids)), n)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(ids), len(ids)), dtype=np.float32)
+        for begin in range(0, int(column[-1]) + 1, _COLUMNS):
+            a, b = np.searchsorted(column, [begin, begin + _COLUMNS])
+            part = np.zeros((len(ids), _COLUMNS), dtype=np.float32)
+            part[row[a:b], column[a:b] - begin] = 1
+            both += part @ part.T
+        linked = both * 100 >= (n[:, None] + n[None, :] - both) * percent
+        root = {c: c for c in rows["component"]}
+
+        def top(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        out = []
+        for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+            x, y = top(rows["component"][i]), top(rows["component"][j])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((ids[i], ids[j]))
+        return pa.table(
+            {"a": pa.array([a for a, _ in out], pa.int64()),
+             "b": pa.array([b for _, b in out], pa.int64())}
+        )
+
+    return paired.groupBy("cluster", "low", "high").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -275,8 +329,7 @@ def near_duplicates(
         .where("low < high").select("key")
     )
     again = _second_look(store(held.join(mixed, "key", "left_semi"), "mixed").df, sets, percent)
-    again = store(again.join(pairs, ["a", "b"], "left_anti"), "again").df
-    links = links.union(_verified(again, sets, percent))
+    links = links.union(again)
     # Rows that repeat a doc_id tie the classes they are in.
     same = (
         real.join(classes.select(*class_key, F.col("doc_id").alias("b")), class_key)
