@@ -7,7 +7,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationkit.llm import decontamination, langid, mixing, quality, superminhash
+from stationkit.llm import (
+    classlm,
+    decontamination,
+    forest,
+    langid,
+    licenses,
+    mixing,
+    quality,
+    quotations,
+    separators,
+    superminhash,
+)
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -18,6 +29,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_spans(table(spark, folder, "documents"))
+
+
 def op2_line_field_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(
         table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -28,6 +43,10 @@ def op3_golden_ratio_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, folder, "documents")).drop("source")
 
 
+def op4_class_bigrams(spark: SparkSession, folder: str) -> DataFrame:
+    return classlm.log_probabilities(table(spark, folder, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -38,6 +57,18 @@ def op6_cross_parsing_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.languages(table(spark, folder, "documents"))
 
 
+def op7_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return separators.document_tokens(table(spark, folder, "documents"))
+
+
+def op8_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.reply_ordered(table(spark, folder, "conversations"))
+
+
+def op9_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, folder, "documents"), 3, 85)
 
@@ -50,10 +81,15 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_spans": op1_license_spans,
     "op2_line_field_quality": op2_line_field_quality,
     "op3_golden_ratio_mix": op3_golden_ratio_mix,
+    "op4_class_bigrams": op4_class_bigrams,
     "op5_decontaminate": op5_decontaminate,
     "op6_cross_parsing_language": op6_cross_parsing_language,
+    "op7_separator_scan": op7_separator_scan,
+    "op8_quotation_links": op8_quotation_links,
+    "op9_projection_forest": op9_projection_forest,
     "op10_superminhash": op10_superminhash,
     "pipeline": pipeline,
 }
@@ -87,5 +123,6 @@ FROM sets s JOIN (SELECT node, min(root) AS component_id FROM reached GROUP BY n
 
 ORACLE: dict[str, str] = {
     "op3_golden_ratio_mix": mixing.SQL,
+    "op8_quotation_links": quotations.SQL,
     "op10_superminhash": NEAR_SQL,
 }
