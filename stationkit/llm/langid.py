@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from stationkit.llm.arrays import blocks, split_words
 from stationkit.llm.quality import fold
+from stationkit.plans.stored import store
 
 # Labelled text per language, and for all languages together, in bytes. It comes
 # from documents of up to TRAIN_CHARS characters. This bounds the automata.
@@ -26,6 +27,8 @@ TRAIN_BYTES = 24_000
 TRAIN_BYTES_ALL = 128_000
 TRAIN_CHARS = 8_000
 SAMPLE_DOCS = 150
+# A table of languages with up to so many rows is broadcast.
+BROADCAST_ROWS = 10_000
 UNKNOWN = "und"
 # Above this many pieces per letter no learned language fits.
 MOST_PIECES = 0.75
@@ -152,10 +155,12 @@ def train(docs: DataFrame, folds: int = 4, held: int = 2) -> Automata:
         .where(fold("doc_id", folds) != held).where(F.length("text").between(1, TRAIN_CHARS))
         .withColumn("place", F.xxhash64(F.lit("sample"), "doc_id", "text"))
     )
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    counts = store(known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    # One row for each language: where they are few, no text moves before the sample is drawn.
+    per_language = F.broadcast(counts.df) if counts.rows <= BROADCAST_ROWS else counts.df
     # The share of rows that leaves a few times SAMPLE_DOCS of each language, then the first ones.
     share = F.pmod("place", F.lit(1 << 30)) / (1 << 30)
-    few = known.join(counts, "lang").where(share * F.col("rows") < 3 * SAMPLE_DOCS)
+    few = known.join(per_language, "lang").where(share * F.col("rows") < 3 * SAMPLE_DOCS)
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     few = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
     texts: dict[str, list[bytes]] = {}
