@@ -132,8 +132,10 @@ def count_pieces(model: Automata, texts: list[bytes]) -> tuple[np.ndarray, np.nd
         code = model.codes[words.data[starts[:n] + p]][:, None]
         to = flat[state[:n] * width + code]
         failed = to < 0
-        count[:n] += failed
         again = flat[model.roots[None, :] * width + code]
+        # A failed step ends the piece before it; a letter no text has is a piece by itself.
+        count[:n] += (failed & (state[:n] != model.roots[None, :])).astype(np.int64)
+        count[:n] += again < 0
         state[:n] = np.where(failed, np.where(again < 0, model.roots[None, :], again), to)
     count += state != model.roots[None, :]
     per_word = np.empty_like(count)

@@ -168,15 +168,21 @@ def scan(index: Index, texts: list[bytes]) -> list[tuple[int, str, int, int, flo
                     spots[key] = spots.get(key, 0) + 1
                 begin += 1
         done: dict[int, list[tuple[int, int]]] = {}
+        free, template = own, -1
         for (k, diagonal), _ in sorted(spots.items(), key=lambda s: (s[0][0], -s[1], s[0][1])):
             size = len(index.words[k])
+            if k != template:
+                free, template = own, k
             taken = done.setdefault(k, [])
             middle = diagonal + size // 2
             if any(a <= middle <= b for a, b in taken):
                 continue
-            hits, begin, end = banded_alignment(index.words[k], own, diagonal)
+            hits, begin, end = banded_alignment(index.words[k], free, diagonal)
             if hits >= LEAST_COVERAGE * size and not any(a <= end and begin <= b for a, b in taken):
                 taken.append((begin, end))
+                # A place found already must not hide the next one within the band.
+                free = own.copy() if free is own else free
+                free[begin : end + 1] = 0
                 out.append((int(t), index.names[k], hits, size, hits / size, begin, end))
     return out
 
