@@ -98,7 +98,7 @@ def forecast_model(
     """Compare regressors on predicting the level ``horizon`` buckets ahead.
 
     The split is by time: models are fitted on the earlier part of the period
-    and scored on the later part.
+    and scored on the later part; labels from the later part train nothing.
     """
     rows = lagged(readings, bucket_h, lags, horizon).where(F.col("label").isNotNull())
     table = store(_assembler(lags).transform(rows).select("moment", "features", "label"), "lags").df
@@ -108,7 +108,7 @@ def forecast_model(
         ).alias("cut")
     ).scalar()
     board, _ = compare_models(
-        table.where(F.col("moment") <= span),
+        table.where(F.col("moment") + horizon <= span),
         table.where(F.col("moment") > span),
         "label",
         "features",

@@ -14,6 +14,8 @@ from stationkit.operators.clean import string_columns
 
 def _long(df: DataFrame, measures: dict[str, Column], name: str, value: str) -> DataFrame:
     """Aggregate all measures in one pass and return one row per measure."""
+    if not measures:
+        return df.sparkSession.createDataFrame([], f"`{name}` string, `{value}` bigint")
     wide = df.agg(*(c.alias(k) for k, c in measures.items()))
     return wide.unpivot([], [f"`{k}`" for k in measures], name, value)
 
@@ -81,12 +83,16 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """Count, mean, sample deviation, smallest and largest value of each column.
 
     Mean and deviation are null for text; smallest and largest are given as text
-    so that one table can hold all columns.
+    so that one table can hold all columns. A table without numbers or text has no rows.
     """
     usable = [
         f for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType))
     ]
     chosen = [f for f in usable if columns is None or f.name in columns]
+    if not chosen:
+        return df.sparkSession.createDataFrame(
+            [], "column string, count bigint, mean double, stddev double, min string, max string"
+        )
 
     def described(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")

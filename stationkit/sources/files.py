@@ -14,18 +14,30 @@ from stationkit.schema import RAW_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
+def _in_file_order(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str
+) -> T.StructType:
+    """The schema in the order of the header line; every column must be there, and no other."""
+    header = spark.read.options(header=True, sep=sep).csv(path).columns
+    fields = {f.name: f for f in schema.fields}
+    if sorted(header) != sorted(fields):
+        raise ValueError(f"header {header} does not name the columns {list(fields)}")
+    return T.StructType([fields[name] for name in header])
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA, sep: str = ";"
 ) -> DataFrame:
-    """Scan delimited files with a header line.
+    """Scan delimited files with a header line, which names the columns in any order.
 
-    The schema is given, so no job reads the files just to guess types; pass
-    ``None`` to infer it.
+    The types are given, so no job reads the files just to guess them; pass
+    ``None`` to infer them. All files must have the same header, else the read fails.
     """
     reader = spark.read.options(header=True, sep=sep, mode="PERMISSIVE")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    ordered = _in_file_order(spark, path, schema, sep)
+    return reader.schema(ordered).option("enforceSchema", False).csv(path).select(*schema.names)
 
 
 def read_csv_checked(
@@ -35,13 +47,19 @@ def read_csv_checked(
 
     A line is unreadable if a field does not parse as its type or the number of
     fields is wrong. The quarantine holds the line as it was. The text is parsed
-    once, in full, into a stored table from which both results are read.
+    once, in full, into a stored table from which both results are read. The header
+    names the columns in any order and must be the same in all files.
     """
-    tolerant = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    ordered = _in_file_order(spark, path, schema, sep)
+    tolerant = T.StructType([*ordered.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(tolerant).options(
-        header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+        header=True,
+        sep=sep,
+        mode="PERMISSIVE",
+        enforceSchema=False,
+        columnNameOfCorruptRecord=CORRUPT,
     )
-    parsed = store(reader.csv(path), "parsed").df
+    parsed = store(reader.csv(path).select(*schema.names, CORRUPT), "parsed").df
     unreadable = F.col(CORRUPT).isNotNull()
     good = parsed.where(~unreadable).drop(CORRUPT)
     bad = parsed.where(unreadable).select(F.col(CORRUPT).alias("line"))
