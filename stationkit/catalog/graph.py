@@ -37,7 +37,7 @@ def graph_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def degrees(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.band_degrees(_vertices(spark, folder), CLOSE)
+    return ops.band_degrees(_vertices(spark, folder))
 
 
 def graph_size(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,7 +175,7 @@ QUERIES = {
     ),
     "degrees": Query(
         degrees,
-        f"""WITH {_STATIONS}, {_edges(CLOSE)},
+        f"""WITH {_STATIONS}, {_edges(0.2)},
         ends AS (SELECT src AS station_id FROM edges UNION ALL SELECT dst FROM edges)
         SELECT station_id, city, location,
         (SELECT count(*) FROM ends e WHERE e.station_id = s.station_id) AS degree

@@ -12,7 +12,7 @@ from stationkit.operators import features, relations
 from stationkit.operators import reports as ops
 from stationkit.plans import flow
 
-# The event types, named so that the pivot needs no job to find them.
+# The event types of the SQL below; the queries take theirs from the data.
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -28,7 +28,7 @@ def _on_dated(operator):
 
 def _pivot(spark: SparkSession, folder: str) -> DataFrame:
     day = F.date_trunc("day", "last_updated")
-    return relations.pollutant_pivot(readings(spark, folder), TYPES, day)
+    return relations.pollutant_pivot(readings(spark, folder), time=day)
 
 
 def pollutant_pivot(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,11 +36,11 @@ def pollutant_pivot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pollutant_corr(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(relations.pollutant_corr(_pivot(spark, folder), TYPES))
+    return shown(relations.pollutant_corr(_pivot(spark, folder)))
 
 
 def pollutant_corr_pairwise(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(relations.pollutant_corr(_pivot(spark, folder), TYPES, missing="pairwise"))
+    return shown(relations.pollutant_corr(_pivot(spark, folder), missing="pairwise"))
 
 
 def rolling_summary(spark: SparkSession, folder: str) -> DataFrame:
