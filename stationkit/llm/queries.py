@@ -18,6 +18,7 @@ from stationkit.llm import (
     quotations,
     separators,
     superminhash,
+    warc,
 )
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -73,6 +74,10 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, folder, "documents"), 3, 85)
 
 
+def op12_transaction_assembly(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # the pipeline itself takes its tables from this module
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_links": op8_quotation_links,
     "op9_projection_forest": op9_projection_forest,
     "op10_superminhash": op10_superminhash,
+    "op12_transaction_assembly": op12_transaction_assembly,
     "pipeline": pipeline,
 }
 
@@ -125,4 +131,5 @@ ORACLE: dict[str, str] = {
     "op3_golden_ratio_mix": mixing.SQL,
     "op8_quotation_links": quotations.SQL,
     "op10_superminhash": NEAR_SQL,
+    "op12_transaction_assembly": warc.SQL,
 }
