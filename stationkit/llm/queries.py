@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stationkit.llm import (
     classlm,
     decontamination,
+    divergence,
     forest,
     langid,
     licenses,
@@ -19,6 +20,7 @@ from stationkit.llm import (
     separators,
     superminhash,
     warc,
+    whitening,
 )
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -74,10 +76,18 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, folder, "documents"), 3, 85)
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
 def op12_transaction_assembly(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
 
+def op13_qdwh_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # the pipeline itself takes its tables from this module
 
@@ -96,7 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_links": op8_quotation_links,
     "op9_projection_forest": op9_projection_forest,
     "op10_superminhash": op10_superminhash,
+    "op11_source_divergence": op11_source_divergence,
     "op12_transaction_assembly": op12_transaction_assembly,
+    "op13_qdwh_whitening": op13_qdwh_whitening,
     "pipeline": pipeline,
 }
 
@@ -131,5 +143,6 @@ ORACLE: dict[str, str] = {
     "op3_golden_ratio_mix": mixing.SQL,
     "op8_quotation_links": quotations.SQL,
     "op10_superminhash": NEAR_SQL,
+    "op11_source_divergence": divergence.SQL,
     "op12_transaction_assembly": warc.SQL,
 }
