@@ -142,6 +142,7 @@ FROM sets s JOIN (SELECT node, min(root) AS component_id FROM reached GROUP BY n
 ORACLE: dict[str, str] = {
     "op3_golden_ratio_mix": mixing.SQL,
     "op8_quotation_links": quotations.SQL,
+    "op9_projection_forest": forest.SQL,
     "op10_superminhash": NEAR_SQL,
     "op11_source_divergence": divergence.SQL,
     "op12_transaction_assembly": warc.SQL,
