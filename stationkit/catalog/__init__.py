@@ -1,6 +1,15 @@
 """Named queries over the given tables, with equivalent SQL where SQL can say it."""
 
-from stationkit.catalog import cleaning, features, graph, learning, reports, streams
+from stationkit.catalog import (
+    cleaning,
+    cubes,
+    features,
+    graph,
+    learning,
+    reports,
+    streams,
+    temporal,
+)
 from stationkit.catalog.base import Query
 
 QUERIES: dict[str, Query] = {
@@ -10,4 +19,6 @@ QUERIES: dict[str, Query] = {
     **graph.QUERIES,
     **learning.QUERIES,
     **streams.QUERIES,
+    **temporal.QUERIES,
+    **cubes.QUERIES,
 }

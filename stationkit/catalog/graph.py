@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationkit.catalog.base import FEATURES, Query, r4, readings, shown, table
+from stationkit.operators import alike, relations
 from stationkit.operators import graph as ops
-from stationkit.operators import relations
 from stationkit.operators.features import global_index
 from stationkit.plans.stored import store
 
-# Width at which station correlations are taken: nearly equal average index.
-CLOSE = 0.002
-MIN_OVERLAP = 8
+# Stations are alike from this correlation of their daily values, over so many common days.
+ALIKE = 0.5
+MIN_OVERLAP = 5
 
 
 def _vertices(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,11 +80,11 @@ def edge_pagerank(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _correlations(spark: SparkSession, folder: str) -> DataFrame:
-    vertices = _vertices(spark, folder)
     day = F.date_trunc("day", "last_updated")
-    averages = relations.bucket_averages(readings(spark, folder), vertices, day)
-    edges = ops.graph_edges(vertices, CLOSE)
-    return relations.station_corr(averages, edges, MIN_OVERLAP)
+    averages = relations.bucket_averages(
+        readings(spark, folder), _vertices(spark, folder), day
+    )
+    return alike.correlated_stations(averages, ALIKE, MIN_OVERLAP)
 
 
 def station_corr(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,15 +144,22 @@ links AS (
 _RANKED = f"""WITH RECURSIVE {_STATIONS}, {_edges(0.2)}, {_ranks("stations", "edges")},
 named AS (SELECT station_id, city, location, pagerank FROM ranked JOIN stations USING (station_id))"""
 
-_CORR = f"""{_STATIONS}, {_edges(CLOSE)}, levels AS (
+_CORR = f"""{_STATIONS}, levels AS (
   SELECT station_id, pollutant, date_trunc('day', last_updated) AS bucket, avg(value) AS level
   FROM readings JOIN stations USING (city, location) GROUP BY ALL),
+centred AS (
+  SELECT *, level - avg(level) OVER s AS off, count(*) OVER s AS days,
+         min(level) OVER s < max(level) OVER s AS varies
+  FROM levels WINDOW s AS (PARTITION BY station_id, pollutant)),
+scaled AS (
+  SELECT *, off / sqrt(sum(off * off) OVER (PARTITION BY station_id, pollutant)) AS z
+  FROM centred WHERE varies AND days >= {MIN_OVERLAP}),
 correlated AS (
-  SELECT src, dst, a.pollutant, CASE WHEN var_pop(a.level) > 0 AND var_pop(b.level) > 0
-    THEN corr(a.level, b.level) END AS corr, count(*) AS overlap
-  FROM edges JOIN levels a ON a.station_id = src
-    JOIN levels b ON b.station_id = dst AND b.pollutant = a.pollutant AND b.bucket = a.bucket
-  GROUP BY ALL HAVING count(*) >= {MIN_OVERLAP})"""
+  SELECT a.station_id AS src, b.station_id AS dst, a.pollutant, sum(a.z * b.z) AS corr,
+         count(*) AS overlap
+  FROM scaled a JOIN scaled b ON a.pollutant = b.pollutant AND a.bucket = b.bucket
+    AND a.station_id < b.station_id
+  GROUP BY ALL HAVING count(*) >= {MIN_OVERLAP} AND sum(a.z * b.z) >= {ALIKE})"""
 
 QUERIES = {
     "station_index": Query(

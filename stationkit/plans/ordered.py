@@ -44,6 +44,37 @@ def running_total(
     )
 
 
+def last_so_far(
+    df: DataFrame, order: Sequence[str], value: Column, name: str, block: str, itself: bool = True
+) -> DataFrame:
+    """The last value in ``order`` that is not null, up to each row, the row itself included or not.
+
+    ``block`` cuts the order into consecutive runs, as ``range_blocks`` makes
+    them. Each run is looked through on its own; the last value of the runs
+    before it, one row per block, comes from a broadcast. No key has a task of
+    its own, so it does not matter how many rows share one.
+    """
+    valued = df.withColumn("_value", value)
+    end = Window.currentRow if itself else -1
+    within = Window.partitionBy(block).orderBy(*order)
+    placed = F.when(F.col("_value").isNotNull(), F.struct(*order, "_value"))
+    lasts = valued.groupBy(block).agg(F.max(placed).alias("_last"))
+    # One task, over one row per block.
+    before = Window.partitionBy(F.lit(0)).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(
+        block, F.last(F.col("_last._value"), ignorenulls=True).over(before).alias("_carried")
+    )
+    here = F.last("_value", ignorenulls=True).over(
+        within.rowsBetween(Window.unboundedPreceding, end)
+    )
+    return (
+        valued.withColumn("_here", here)
+        .join(F.broadcast(carried), block)
+        .withColumn(name, F.coalesce("_here", "_carried"))
+        .drop("_value", "_here", "_carried")
+    )
+
+
 def range_blocks(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     """Store ``df`` cut into consecutive value ranges, numbered by ``_block``.
 

@@ -16,9 +16,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_VARIABLE_WIDTH = (T.StringType, T.BinaryType)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,15 +49,28 @@ class StoredTable:
         return StoredTable(df, self.rows, self.bytes, self.seen)
 
 
+def _beyond_word(column: Column, kind: T.DataType) -> Column | None:
+    """In-memory bytes of a value besides its word in the row; None where there are none."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + 8
+    if isinstance(kind, T.StructType):
+        parts = [_beyond_word(column.getField(f.name), f.dataType) for f in kind.fields]
+        return sum((p for p in parts if p is not None), F.lit(16 + 8 * len(kind.fields)).cast("bigint"))
+    if isinstance(kind, T.ArrayType) and not isinstance(
+        kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)
+    ):
+        return F.greatest(F.size(column), F.lit(0)).cast("bigint") * 8 + 24
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        # Numbers and texts take about as many bytes written out, each with a word or two besides.
+        return F.coalesce(F.octet_length(column.cast("string")), F.lit(0)).cast("bigint") * 4 + 24
+    return None
+
+
 def _row_bytes(df: DataFrame) -> Column:
-    """In-memory size of a row: header, one word per column, padded text."""
+    """In-memory size of a row: header, one word per column, texts and nested values."""
     width = 16 + 8 * len(df.columns)
-    texts = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
-        for f in df.schema.fields
-        if isinstance(f.dataType, _VARIABLE_WIDTH)
-    ]
-    return sum(texts, F.lit(width).cast("bigint"))
+    parts = [_beyond_word(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    return sum((p for p in parts if p is not None), F.lit(width).cast("bigint"))
 
 
 def store(df: DataFrame, label: str, **measures: Column) -> StoredTable:
