@@ -142,6 +142,12 @@ def ingest_clean(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) ->
     return dedupe(ingest_rows(raw, caps))
 
 
+def clean_rows(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) -> DataFrame:
+    """Row-wise part of the whole cleaning, for batches and streams alike."""
+    rows = _complete(to_readings(raw), text.has_words)
+    return normalize_text(range_filter(split_categories(rows), caps))
+
+
 def clean_readings(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) -> DataFrame:
     """Raw table to normalised distinct readings.
 
@@ -149,5 +155,4 @@ def clean_readings(raw: DataFrame, caps: Mapping[str, float] = POLLUTANT_CAPS) -
     removal at the end does the work of one per stage; the slug strips to ASCII
     itself, so every name is rewritten once.
     """
-    rows = _complete(to_readings(raw), text.has_words)
-    return dedupe(normalize_text(range_filter(split_categories(rows), caps)))
+    return dedupe(clean_rows(raw, caps))

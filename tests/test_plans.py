@@ -89,3 +89,23 @@ def test_running_total_over_blocks(spark):
     df = spark.range(100).withColumn("b", F.floor(F.col("id") / 9))
     total = ordered.running_total(df, ["id"], F.col("id"), "s", "b")
     assert total.where("s <> id * (id + 1) / 2").count() == 0
+
+
+def test_package_is_packed_whole(tmp_path):
+    import subprocess
+    import sys
+
+    from stationkit.plans import shipping
+
+    path = shipping.packed(str(tmp_path))
+    code = f"import sys; sys.path = [{path!r}, *sys.path[1:]]; import stationkit.operators.alike as a; print(a.__file__)"
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path)
+    assert path in said.stdout
+
+
+def test_workers_find_the_package(spark):
+    from stationkit.plans import shipping
+
+    shipping.ship(spark)
+    shipping.ship(spark)
+    assert spark.sparkContext.environment["PYTHONPATH"].endswith(str(shipping._ROOT))
