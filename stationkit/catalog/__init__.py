@@ -8,6 +8,7 @@ from stationkit.catalog import (
     learning,
     reports,
     streams,
+    tables,
     temporal,
 )
 from stationkit.catalog.base import Query
@@ -21,4 +22,5 @@ QUERIES: dict[str, Query] = {
     **streams.QUERIES,
     **temporal.QUERIES,
     **cubes.QUERIES,
+    **tables.QUERIES,
 }

@@ -13,19 +13,30 @@ from stationkit.plans.stored import store
 
 # Stations are alike from this correlation of their daily values, over so many common days.
 ALIKE = 0.5
+LEVELS, LEVEL_STEP = 7, 80
 MIN_OVERLAP = 5
 
 
+def _levelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings with a level of their own for each station.
+
+    The given values have the same distribution everywhere, so that all stations
+    would be alike and no limit would exclude a pair.
+    """
+    level = F.substring("location", 2, 20).cast("bigint") % LEVELS
+    return readings(spark, folder).withColumn("value", F.col("value") + level * LEVEL_STEP)
+
+
 def _vertices(spark: SparkSession, folder: str) -> DataFrame:
-    return store(ops.stations(global_index(readings(spark, folder))), "stations").df
+    return store(ops.stations(global_index(_levelled(spark, folder))), "stations").df
 
 
 def station_index(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(ops.station_index(global_index(readings(spark, folder))))
+    return shown(ops.station_index(global_index(_levelled(spark, folder))))
 
 
 def stations(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(ops.stations(global_index(readings(spark, folder))))
+    return shown(ops.stations(global_index(_levelled(spark, folder))))
 
 
 def station_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +93,7 @@ def edge_pagerank(spark: SparkSession, folder: str) -> DataFrame:
 def _correlations(spark: SparkSession, folder: str) -> DataFrame:
     day = F.date_trunc("day", "last_updated")
     averages = relations.bucket_averages(
-        readings(spark, folder), _vertices(spark, folder), day
+        _levelled(spark, folder), _vertices(spark, folder), day
     )
     return alike.correlated_stations(averages, ALIKE, MIN_OVERLAP)
 
@@ -99,7 +110,10 @@ def station_groups(spark: SparkSession, folder: str) -> DataFrame:
     return relations.station_groups(relations.hour_profiles(readings(spark, folder)))
 
 
-_STATIONS = f"""{FEATURES}, indexed AS (
+_FEATURES = FEATURES.replace(
+    "AS pollutant, value,", f"AS pollutant, value + user_id % {LEVELS} * {LEVEL_STEP} AS value,"
+)
+_STATIONS = f"""{_FEATURES}, indexed AS (
   SELECT city, location, avg(global_index) AS avg_global_index,
          CAST(round(avg(global_index) * 1000000000) AS BIGINT) AS units
   FROM features GROUP BY city, location),
@@ -124,7 +138,7 @@ rounds(step, id, rank) AS (
   SELECT x.step + 1, x.id, 0.15 + 0.85 * coalesce(sum(y.rank / out.n), 0)
   FROM rounds x LEFT JOIN {edges} e ON e.dst = x.id
     LEFT JOIN rounds y ON y.id = e.src LEFT JOIN out ON out.src = e.src
-  WHERE x.step < 40 GROUP BY x.step, x.id),
+  WHERE x.step < 120 GROUP BY x.step, x.id),
 moves AS (
   SELECT a.step, max(abs(a.rank - b.rank)) AS moved
   FROM rounds a JOIN rounds b ON a.id = b.id AND a.step = b.step + 1 GROUP BY a.step),

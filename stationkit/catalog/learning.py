@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationkit.catalog.base import FEATURES, READINGS, Query, r4, readings, shown, table
-from stationkit.operators import features, forecast
+from stationkit.catalog.base import DATED, FEATURES, READINGS, Query, r4, readings, shown, table
+from stationkit.operators import features, forecast, validation
 from stationkit.operators import learning as ops
 from stationkit.plans.stored import store
 
+FOLDS = 4
+PURGED_SECONDS = 86_400
+
 
 def mean_encode(spark: SparkSession, folder: str) -> DataFrame:
     return shown(ops.mean_encode(features.global_index(readings(spark, folder))))
@@ -21,15 +27,28 @@ def string_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """The flag that is set for each order, in long form, and how many flags there are."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
     flags = vector_to_array("o_orderpriority_encode")
     return ops.one_hot(orders, ["o_orderpriority"]).select(
         "o_orderkey",
         "o_orderpriority",
-        *(flags[i].cast("int").alias(f"flag_{i}") for i in range(5)),
+        (F.array_position(flags, 1.0) - 1).cast("int").alias("slot"),
+        F.aggregate(flags, F.lit(0.0), lambda total, flag: total + flag).cast("int").alias("flags_set"),
+        F.size(flags).alias("slots"),
     )
 
 
+def honest_encode(spark: SparkSession, folder: str) -> DataFrame:
+    """Category means that no row's own target is part of: of the other training rows, or for test rows of all."""
+    rows = features.global_index(readings(spark, folder))
+    train, test = ops.train_test_split(rows, ["city", "location", "pollutant", "last_updated"])
+    return shown(
+        ops.mean_encode(train, leave_out=True).withColumn("part", F.lit("train"))
+        .unionByName(ops.mean_encode(test, fit_on=train).withColumn("part", F.lit("test")))
+    )
+
+
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
     train, test = ops.train_test_split(table(spark, folder, "events"), ["event_id"])
     return (
@@ -57,6 +76,25 @@ def model_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     return ops.model_leaderboard(_prepared(spark, folder, leaky=True))
 
 
+def _line(column: str) -> Pipeline:
+    return Pipeline(
+        stages=[
+            VectorAssembler(inputCols=[column], outputCol="_x"),
+            LinearRegression(labelCol="value", featuresCol="_x"),
+        ]
+    )
+
+
+def cross_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Two lines on every fold of time, a day before each test span purged."""
+    rows = features.calendar_features(readings(spark, folder))
+    models = {"hour": _line("hour"), "weekend": _line("is_weekend")}
+    scores = validation.cross_validate(
+        rows, models, "value", "last_updated", FOLDS, PURGED_SECONDS
+    )
+    return shown(scores)
+
+
 def forecast_naive(spark: SparkSession, folder: str) -> DataFrame:
     return shown(forecast.forecast_naive(readings(spark, folder), 6))
 
@@ -105,11 +143,30 @@ QUERIES = {
     "one_hot": Query(
         one_hot,
         """WITH ranked AS (SELECT o_orderpriority,
-          row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i
+          row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i, count(*) OVER () AS n
           FROM orders GROUP BY o_orderpriority)
-        SELECT o_orderkey, o_orderpriority, """
-        + ", ".join(f"CAST(i = {i} AS INTEGER) AS flag_{i}" for i in range(5))
-        + " FROM orders JOIN ranked USING (o_orderpriority)",
+        SELECT o_orderkey, o_orderpriority, CAST(i AS INTEGER) AS slot,
+          CAST(1 AS INTEGER) AS flags_set, CAST(n AS INTEGER) AS slots
+        FROM orders JOIN ranked USING (o_orderpriority)""",
+    ),
+    "honest_encode": Query(
+        honest_encode,
+        f"""WITH {FEATURES}, dealt AS (
+          SELECT city, location, pollutant, value, last_updated, global_index,
+            ('0x' || substr(md5(city || '|' || location || '|' || pollutant || '|' ||
+              epoch_us(last_updated)), 1, 8))::BIGINT % 100 < 20 AS tested
+          FROM features),
+        overall AS (SELECT avg(global_index) AS mean FROM dealt WHERE NOT tested),
+        cities AS (SELECT city, sum(global_index) AS total, count(global_index) AS n
+          FROM dealt WHERE NOT tested GROUP BY city),
+        places AS (SELECT location, sum(global_index) AS total, count(global_index) AS n
+          FROM dealt WHERE NOT tested GROUP BY location)
+        SELECT d.city, d.location, pollutant, {r4("value")}, last_updated, {r4("global_index")},
+          {r4("CASE WHEN tested THEN coalesce(c.total / c.n, mean) WHEN c.n > 1 THEN (c.total - global_index) / (c.n - 1) ELSE mean END", "city_encode")},
+          {r4("CASE WHEN tested THEN coalesce(p.total / p.n, mean) WHEN p.n > 1 THEN (p.total - global_index) / (p.n - 1) ELSE mean END", "location_encode")},
+          CASE WHEN tested THEN 'test' ELSE 'train' END AS part
+        FROM dealt d CROSS JOIN overall LEFT JOIN cities c ON c.city = d.city
+          LEFT JOIN places p ON p.location = d.location""",
     ),
     "train_test_split": Query(
         train_test_split,
@@ -123,6 +180,29 @@ QUERIES = {
         {r4("sqrt(avg((value - avg_value) ** 2))", "rmse")},
         {r4("1 - avg((value - avg_value) ** 2) / var_pop(value)", "r2")} FROM features""",
     ),
+    "cross_validation": Query(
+        cross_validation,
+        f"""WITH {DATED}, ends AS (
+          SELECT CAST(floor(epoch(min(last_updated))) AS BIGINT) AS low,
+                 CAST(floor(epoch(max(last_updated))) AS BIGINT) AS high FROM dated),
+        folds AS (
+          SELECT k AS fold, low + (high + 1 - low) * k // {FOLDS + 1} AS starts,
+                 low + (high + 1 - low) * (k + 1) // {FOLDS + 1} AS stops
+          FROM ends, range(1, {FOLDS + 1}) AS t(k)),
+        given AS (
+          SELECT 'hour' AS name, ts, value, hour::DOUBLE AS x FROM dated
+          UNION ALL SELECT 'weekend', ts, value, is_weekend::DOUBLE FROM dated),
+        lines AS (
+          SELECT name, fold, starts, stops, count(*) AS train_rows,
+                 CASE WHEN min(x) < max(x) THEN regr_slope(value, x) ELSE 0 END AS b,
+                 CASE WHEN min(x) < max(x) THEN regr_intercept(value, x) ELSE avg(value) END AS a
+          FROM folds JOIN given ON ts < starts - {PURGED_SECONDS} GROUP BY ALL)
+        SELECT name, CAST(fold AS INTEGER) AS fold,
+          {r4("sqrt(avg((value - a - b * x) ** 2))", "rmse")},
+          {r4("1 - avg((value - a - b * x) ** 2) / var_pop(value)", "r2")},
+          any_value(train_rows) AS train_rows, count(*) AS test_rows
+        FROM lines JOIN given USING (name) WHERE ts >= starts AND ts < stops GROUP BY name, fold""",
+    ),
     "feature_ranking": Query(feature_ranking),
     "model_leaderboard": Query(model_leaderboard),
     "forecast_naive": Query(

@@ -35,12 +35,19 @@ def pollutant_pivot(spark: SparkSession, folder: str) -> DataFrame:
     return shown(_pivot(spark, folder))
 
 
+def _daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Average of each pollutant per station and day, in long form."""
+    cell = F.struct("city", "location", F.date_trunc("day", "last_updated").alias("day")).alias("cell")
+    rows = readings(spark, folder).select(cell, "pollutant", "value")
+    return rows.groupBy("cell", "pollutant").agg(F.avg("value").alias("level"))
+
+
 def pollutant_corr(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(relations.pollutant_corr(_pivot(spark, folder)))
+    return shown(relations.pollutant_corr_long(_daily(spark, folder)))
 
 
 def pollutant_corr_pairwise(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(relations.pollutant_corr(_pivot(spark, folder), missing="pairwise"))
+    return shown(relations.pollutant_corr_long(_daily(spark, folder), missing="pairwise"))
 
 
 def rolling_summary(spark: SparkSession, folder: str) -> DataFrame:

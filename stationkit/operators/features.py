@@ -9,11 +9,15 @@ from pyspark.sql.window import Window
 from stationkit.functions.calendar import calendar_columns, epoch_seconds
 from stationkit.functions.numeric import min_max, z_score
 from stationkit.plans.keyed import attach
-from stationkit.plans.stored import store
+from stationkit.plans.stored import StoredTable, store
 from stationkit.schema import ROLLING_SECONDS, SERIES
 
 # Rolling blocks with more rows than this are reduced to one row per second first.
 BLOCK_ROWS = 1_000_000
+# Series with at most so many readings in every frame are rolled by Spark's own range window, which
+# looks at each reading of a frame again; they are cut into stretches of so many frames.
+FRAME_ROWS = 1024
+STRETCH = 64
 
 FEATURE_COLUMNS = [
     "city", "location", "pollutant", "value", "last_updated",
@@ -178,6 +182,39 @@ def _roll(part: DataFrame, keys: list[str], names: list[str], measures: dict) ->
     ).where("_own")
 
 
+def _dense_series(readings: DataFrame, keys: list[str], seconds: int, most: int) -> StoredTable:
+    """Keys of the series that have more than ``most`` readings within one block of a frame's length.
+
+    Only series with more readings in all are looked at by block.
+    """
+    totals = readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = store(totals.where(F.col("_n") > most).select(*keys, "_n"), "large-series")
+    if not large.rows:
+        return large.view(large.df.drop("_n"))
+    own = attach(readings.select(*keys, "ts"), large, keys, "inner", weight="_n")
+    blocks = own.groupBy(*keys, F.floor(F.col("ts") / seconds).alias("_block")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    return store(blocks.where(F.col("_rows") > most).select(*keys).distinct(), "dense-series")
+
+
+def _rolled_by_range(
+    readings: DataFrame, keys: list[str], names: list[str], seconds: int
+) -> DataFrame:
+    """Spark's range window over stretches of a series; only a stretch's last frame is repeated."""
+    span, stretch = seconds * STRETCH, F.floor(F.col("ts") / (seconds * STRETCH))
+    reaches_on = F.col("ts") >= (stretch + 1) * span - seconds
+    placed = readings.withColumn(
+        "_stretch",
+        F.explode(F.when(reaches_on, F.array(stretch, stretch + 1)).otherwise(F.array(stretch))),
+    )
+    # The stretch leads: sorting by a number first is cheaper than by names.
+    frame = Window.partitionBy("_stretch", *keys).orderBy("ts").rangeBetween(-seconds, 0)
+    aggregates = (F.avg("value"), F.max("value"), F.min("value"))
+    rolled = placed.withColumns({n: a.over(frame) for n, a in zip(names, aggregates, strict=True)})
+    return rolled.where(stretch.eqNullSafe(F.col("_stretch"))).drop("_stretch")
+
+
 def rolling(
     readings: DataFrame,
     keys: list[str] | None = None,
@@ -188,13 +225,40 @@ def rolling(
 ) -> DataFrame:
     """Trailing mean, max and min over a time range, current time and ties included.
 
-    Needs an epoch-second column ``ts``. A series is cut into blocks as long as
-    the range, so a long series spreads over many tasks. A block with more than
-    ``block_rows`` rows is first reduced to one row per second, which bounds it
-    by the seconds in the range; its readings then look their result up.
+    Needs an epoch-second column ``ts``. A series is cut along time, so a long
+    one spreads over many tasks. Most series have few readings in a frame and go
+    through one range window; those with more than ``FRAME_ROWS`` in some frame
+    through running aggregates, whose work per reading does not grow with the
+    readings in a frame (see ``_rolled_by_blocks``).
     """
     keys = SERIES if keys is None else list(keys)
     names = [f"rolling_{f}_{suffix}" for f in ("mean", "max", "min")]
+    dense = _dense_series(readings, keys, seconds, min(FRAME_ROWS, block_rows))
+    if not dense.rows:
+        return _rolled_by_range(readings, keys, names, seconds)
+    flagged = dense.view(dense.df.withColumn("_dense", F.lit(True)))
+    marked = attach(readings, flagged, keys, broadcast_bytes=broadcast_bytes)
+    sparse = marked.where(F.col("_dense").isNull()).drop("_dense").select(*readings.columns)
+    crowded = marked.where(F.col("_dense")).drop("_dense").select(*readings.columns)
+    return _rolled_by_range(sparse, keys, names, seconds).unionByName(
+        _rolled_by_blocks(crowded, keys, names, seconds, block_rows, broadcast_bytes)
+    )
+
+
+def _rolled_by_blocks(
+    readings: DataFrame,
+    keys: list[str],
+    names: list[str],
+    seconds: int,
+    block_rows: int,
+    broadcast_bytes: int | None,
+) -> DataFrame:
+    """Frames put together from running aggregates over blocks as long as the range.
+
+    A block with more than ``block_rows`` rows is first reduced to one row per
+    second, which bounds it by the seconds in the range; its readings then look
+    their result up.
+    """
     blocked = _with_blocks(readings, seconds)
 
     counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))

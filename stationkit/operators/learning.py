@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from stationkit.functions.numeric import split_bucket
 from stationkit.plans.keyed import attach
+from stationkit.plans.ordered import dense_ids
 from stationkit.plans.stored import store
 from stationkit.schema import SERIES
 
@@ -40,14 +41,23 @@ SAME_ROW = {
 }
 
 
+def _micros_without_zone(time: str) -> Column:
+    """Microseconds of a time without zone, counted as if it were UTC."""
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", zero, F.col(time))
+
+
 def train_test_split(
     df: DataFrame, keys: Sequence[str], test_percent: int = 20
 ) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the row key: the same rows on every run and layout.
 
-    Copies of a row fall on the same side.
+    Copies of a row fall on the same side. Times count as microseconds, so the
+    split does not depend on the session's time zone.
     """
-    bucket = split_bucket([F.col(k) for k in keys])
+    kinds = dict(df.dtypes)
+    at = {"timestamp": F.unix_micros, "timestamp_ntz": _micros_without_zone}
+    bucket = split_bucket([at.get(kinds[k], F.col)(k) for k in keys])
     marked = df.withColumn("_bucket", bucket)
     train = marked.where(F.col("_bucket") >= test_percent).drop("_bucket")
     test = marked.where(F.col("_bucket") < test_percent).drop("_bucket")
@@ -60,39 +70,49 @@ def mean_encode(
     columns: Iterable[str] = ("city", "location"),
     target: str = LABEL,
     broadcast_bytes: int | None = None,
+    leave_out: bool = False,
 ) -> DataFrame:
     """Add the mean target of each category as ``<column>_encode``.
 
-    The means come from ``fit_on``, normally the training rows. Leaving it out
-    uses ``df`` itself, which lets every row see its own target. Categories that
-    were not seen get the overall mean.
+    The means come from ``fit_on``, normally the training rows; categories that
+    it lacks get its overall mean. Leaving it out uses ``df`` itself, which lets
+    every row see its own target, unless ``leave_out`` takes the mean over the
+    other rows of the category. A row alone in its category then gets the overall
+    mean.
     """
     source = df if fit_on is None else fit_on
     encoded = df
+    fallback = fit_on is not None or leave_out
+    overall = source.agg(F.avg(target)).first()[0] if fallback else None
     for column in columns:
         name = f"{column}_encode"
         means = source.groupBy(column).agg(
-            F.avg(target).alias(name), F.count(F.lit(1)).alias("_rows")
-        )
+            F.avg(target).alias(name), F.sum(target).alias("_sum"), F.count(target).alias("_n"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
         # The row counts describe df only when the means were taken from it.
         weight = "_rows" if fit_on is None else None
-        encoded = attach(
-            encoded, means, [column], weight=weight, broadcast_bytes=broadcast_bytes
-        ).drop("_rows")
-        if fit_on is not None:
-            overall = source.agg(F.avg(target)).scalar()
-            encoded = encoded.withColumn(name, F.coalesce(name, overall))
+        encoded = attach(encoded, means, [column], weight=weight, broadcast_bytes=broadcast_bytes)
+        if leave_out:
+            own = F.col(target)
+            others = F.try_divide(F.col("_sum") - own, F.col("_n") - 1)
+            encoded = encoded.withColumn(name, F.when(own.isNull(), F.col(name)).otherwise(others))
+        if fallback:
+            encoded = encoded.withColumn(name, F.coalesce(name, F.lit(overall)))
+        encoded = encoded.drop("_sum", "_n", "_rows")
     return encoded
 
 
 def string_index(df: DataFrame, column: str) -> DataFrame:
-    """Labels numbered by frequency, most frequent first, ties by name."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    indexer = StringIndexer(
-        inputCol=column, outputCol="index", handleInvalid="keep", stringOrderType="frequencyDesc"
-    )
-    model = indexer.fit(df)
-    return model.transform(counts).select(column, "count", F.col("index").cast("int"))
+    """Labels numbered by frequency, most frequent first, ties by name: label, count, index.
+
+    Numbering is spread over tasks, so there may be any number of labels. A null
+    is no label.
+    """
+    known = df.where(F.col(column).isNotNull())
+    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    ranked = dense_ids(counts.withColumn("_fewer", -F.col("count")), ["_fewer", column], "index")
+    return ranked.select(column, "count", F.col("index").cast("int").alias("index"))
 
 
 def category_stages(columns: Sequence[str]) -> list:
@@ -135,7 +155,8 @@ def prepare(
     """Encode, split 80/20 and assemble the feature table.
 
     With ``leaky=True`` category means are taken over all rows before the split;
-    otherwise every encoding is fitted on the training rows only.
+    otherwise every encoding is fitted on the training rows only, and a training
+    row's own label is left out of its category means.
     """
     keys = [*SERIES, "last_updated", "value"] if keys is None else list(keys)
     usable = features.where(F.col(LABEL).isNotNull())
@@ -143,7 +164,8 @@ def prepare(
         train, test = train_test_split(mean_encode(usable), keys)
     else:
         raw_train, raw_test = train_test_split(usable, keys)
-        train, test = mean_encode(raw_train), mean_encode(raw_test, fit_on=raw_train)
+        train = mean_encode(raw_train, leave_out=True)
+        test = mean_encode(raw_test, fit_on=raw_train)
     encoder = Pipeline(stages=category_stages(["pollutant", "season"]))
     encoders = encoder.fit(train.unionByName(test) if leaky else train)
     columns = candidate_features(encoders.transform(train), leaky)

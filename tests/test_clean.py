@@ -142,3 +142,39 @@ def test_cardinality_exact_and_approximate(make_readings):
     assert exact == {"city": 3, "location": 30}
     about = dict(quality.cardinality(rows, ["city"], approximate=True).collect())
     assert about == {"city": 3}
+
+
+def test_line_breaks_and_backslashes_survive_a_file(spark, tmp_path):
+    texts = ["a\nb", "a\\nb", "\\", "\\\\n", "x;y\r\n\"q\" \\", "plain", "", None, "end\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    files.write_csv(df, str(tmp_path / "out"), escaped=True)
+    assert files.escape_lines(df).where("t rlike '[\\r\\n]'").count() == 0
+    got = files.read_csv(spark, str(tmp_path / "out"), df.schema, escaped=True).collect()
+    assert {r.i: r.t for r in got} == {i: t or None for i, t in enumerate(texts)}
+    back = files.unescape_lines(files.escape_lines(df)).collect()
+    assert [r.t for r in back] == texts
+
+
+def test_a_line_break_is_not_written_as_another_row(spark, tmp_path):
+    import pytest
+
+    df = spark.createDataFrame([("a\nb",)], "t string")
+    with pytest.raises(Exception, match="line break"):
+        files.write_csv(df, str(tmp_path / "out"))
+
+
+def test_further_and_absent_columns(spark, tmp_path):
+    """Columns nobody asks for do no harm; a needed one that is absent does."""
+    import pytest
+
+    header = "Extra;Pollutant;City;Location;Value;Last Updated;More"
+    line = "1;O3;Paris;Site;{};2024-01-01 10:00:00;2"
+    (tmp_path / "a.csv").write_text("\n".join([header, line.format(4), line.format("x")]) + "\n")
+    rows = files.read_csv(spark, str(tmp_path)).collect()
+    assert [(r.City, r.Value, r.Unit) for r in rows][0] == ("Paris", 4.0, None)
+    good, bad = files.read_csv_checked(spark, str(tmp_path))
+    assert good.columns == files.RAW_SCHEMA.names and good.count() == 1
+    assert [r.line for r in bad.collect()] == [line.format("x")]
+    (tmp_path / "a.csv").write_text(header.replace("City", "Town") + "\n" + line.format(4) + "\n")
+    with pytest.raises(ValueError, match="City"):
+        files.read_csv(spark, str(tmp_path))

@@ -106,3 +106,41 @@ def test_linear_forecast_continues_a_line(make_readings):
     row = forecast.forecast_table(rows).first()
     assert row.prediction == pytest.approx(23.0)
     assert (row.horizon_h, str(row.as_of)) == (24, "1970-01-10 00:00:00")
+
+
+def test_leaving_out_the_own_label(spark):
+    schema = "city string, location string, global_index double"
+    rows = [("a", "x", 0.2), ("a", "x", 0.4), ("a", "y", 0.6), ("b", "z", 1.0), ("c", "z", None)]
+    found = learning.mean_encode(spark.createDataFrame(rows, schema), leave_out=True).collect()
+    got = {(r.city, r.global_index): r.city_encode for r in found}
+    overall = 2.2 / 4
+    assert got == {("a", 0.2): pytest.approx(0.5), ("a", 0.4): pytest.approx(0.4), ("a", 0.6): pytest.approx(0.3),
+                   ("b", 1.0): pytest.approx(overall), ("c", None): pytest.approx(overall)}
+
+
+def test_honest_encoding_does_not_tell_the_label(spark, table):
+    """Cities of few rows: with the own label in the mean, the encoding would follow the label."""
+    few = table.withColumn("city", F.concat("city", F.lit("-"), F.substring(F.md5("location"), 1, 2)))
+    few = few.withColumn("city", F.concat("city", "pollutant", (F.col("day") % 10).cast("string")))
+    seen = learning.mean_encode(few).agg(F.corr("city_encode", "global_index")).first()[0]
+    unseen = learning.mean_encode(few, leave_out=True).agg(F.corr("city_encode", "global_index")).first()[0]
+    assert seen > 0.5 and unseen < 0.2
+
+
+def test_split_does_not_depend_on_the_time_zone(spark):
+    rows = spark.range(2_000).select(F.timestamp_seconds(F.col("id") * 977).alias("t"), "id")
+    ids = []
+    for zone in ("UTC", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        test = learning.train_test_split(rows, ["t"])[1]
+        ids.append(sorted(r.id for r in test.collect()))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert ids[0] == ids[1] and 300 < len(ids[0]) < 500
+    plain = rows.select(F.col("t").cast("timestamp_ntz").alias("t"), "id")
+    assert sorted(r.id for r in learning.train_test_split(plain, ["t"])[1].collect()) == ids[0]
+
+
+def test_labels_are_numbered_without_the_driver(spark):
+    rows = [("b",)] * 3 + [("a",)] * 3 + [("c",)] * 9 + [(None,)] * 4
+    got = learning.string_index(spark.createDataFrame(rows, "label string"), "label").collect()
+    assert sorted(map(tuple, got)) == [("a", 3, 1), ("b", 3, 2), ("c", 9, 0)]

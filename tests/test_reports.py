@@ -114,3 +114,23 @@ def test_station_groups_separate_opposite_days(spark):
     for r in groups.collect():
         sides.setdefault(int(r.location[1:]) % 2, set()).add(r.group)
     assert len(sides[0]) == len(sides[1]) == 1 and sides[0] != sides[1]
+
+
+def test_long_correlation_equals_the_pivot(spark):
+    """Sparse cells and a constant pollutant, both ways of counting what is absent."""
+    import random
+
+    rnd = random.Random(3)
+    names = ["p", "q", "r", "s t"]
+    rows = [(c, n, float(rnd.randrange(50)) if n != "r" else 4.0) for c in range(60) for n in names if rnd.random() < 0.6]
+    levels = spark.createDataFrame([*rows, (None, "p", 1.0), (1, None, 1.0), (2, "q", None)], "cell int, pollutant string, level double")
+    known = levels.na.drop().withColumnsRenamed({"cell": "city"}).withColumns({"location": F.lit("x"), "last_updated": F.lit(0)})
+    wide = known.groupBy("city", "location", "last_updated").pivot("pollutant").agg(F.avg("level"))
+    for missing in ("zero", "pairwise"):
+        pairs = [
+            {(r.pollutant_a, r.pollutant_b): r.corr and round(r.corr, 9) for r in df.collect()}
+            for df in (relations.pollutant_corr(wide, missing=missing), relations.pollutant_corr_long(levels, missing))
+        ]
+        assert len(pairs[0]) == 6 and pairs[0] == pairs[1]
+    one = levels.where("pollutant = 'p'")
+    assert relations.pollutant_corr_long(one).count() == relations.pollutant_corr(wide.select("city", "location", "last_updated", "p")).count() == 0
