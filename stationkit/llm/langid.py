@@ -2,9 +2,9 @@
 
 For each language the suffix automaton of some labelled text accepts exactly the
 substrings of that text. A new text is cut, from the left, into the longest
-pieces that an automaton accepts; the language whose automaton needs the fewest
-pieces per letter wins. Pieces end with words, so equal words are parsed once
-per block.
+pieces that an automaton accepts, across words; the language whose automaton
+needs the fewest pieces per letter wins. Texts are parsed in segments of up to
+``SEGMENT`` bytes, many at once, so a piece ends where a segment does.
 """
 
 from __future__ import annotations
@@ -17,16 +17,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stationkit.llm.arrays import blocks, split_words
+from stationkit.llm.arrays import blocks
 from stationkit.llm.quality import fold
 from stationkit.plans.stored import store
 
-# Labelled text per language, and for all languages together, in bytes. It comes
-# from documents of up to TRAIN_CHARS characters. This bounds the automata.
+# Labelled text per language, and for all languages together, in bytes. This bounds the
+# automata. It comes from up to SAMPLE_DOCS documents of any length per language; of a long one a
+# run of up to TRAIN_CHARS characters from a place that a hash chooses is looked at.
 TRAIN_BYTES = 24_000
 TRAIN_BYTES_ALL = 128_000
-TRAIN_CHARS = 8_000
+TRAIN_CHARS = 2_000
 SAMPLE_DOCS = 150
+# Bytes that are parsed in one go; segments end between words where there are any.
+SEGMENT = 512
 # A table of languages with up to so many rows is broadcast.
 BROADCAST_ROWS = 10_000
 UNKNOWN = "und"
@@ -109,52 +112,107 @@ def build(texts: dict[str, bytes]) -> Automata:
     return Automata(languages, np.array(roots, dtype=np.int64), whole, codes)
 
 
+def _segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array of bytes, and the owner, begin and end of each segment.
+
+    Each text is led in by a space, and runs of spaces are one. A segment keeps
+    the space before its first word, so that beginnings of words count as such.
+    """
+    owners, starts, ends, parts, base = [], [], [], [], 0
+    for i, text in enumerate(texts):
+        text = b" ".join(text.split())
+        if not text:
+            continue
+        text = b" " + text
+        begin = 0
+        while begin < len(text):
+            end = begin + SEGMENT
+            if end < len(text):
+                space = text.rfind(b" ", begin + 1, end + 1)
+                end = space if space > 0 else end
+            end = min(end, len(text))
+            owners.append(i)
+            starts.append(base + begin)
+            ends.append(base + end)
+            begin = end
+        parts.append(text)
+        base += len(text)
+    data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+    return data, *(np.array(x, dtype=np.int64) for x in (owners, starts, ends))
+
+
 def count_pieces(model: Automata, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Pieces each automaton needs for each text, and the letters of the text."""
-    words = split_words(texts, lower=False)
-    sizes = words.ends - words.starts
-    letters = np.bincount(words.texts, sizes, len(texts))
+    letters = np.array([len(t) - t.count(b" ") for t in texts], dtype=np.float64)
     pieces = np.zeros((len(texts), len(model.languages)))
-    if not len(sizes) or not model.languages:
+    data, owner, starts, ends = _segments(texts)
+    if not len(owner) or not model.languages:
         return pieces, letters
-    _, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-    at_order = np.argsort(-sizes[at], kind="stable")
-    starts, size = words.starts[at][at_order], sizes[at][at_order]
+    order = np.argsort(starts - ends, kind="stable")
+    owner, starts, sizes = owner[order], starts[order], (ends - starts)[order]
     width = model.table.shape[1]
     flat = model.table.ravel()
-    state = np.repeat(model.roots[None, :], len(at), axis=0)
+    codes = model.codes[data]
+    roots = model.roots[None, :]
+    first = flat[roots * width + np.arange(width)[:, None]]
+    state = np.repeat(roots, len(owner), axis=0)
     count = np.zeros(state.shape, dtype=np.int64)
-    # Every word is led in by a space, so that its beginning counts as such.
-    state[:] = np.where(flat[state * width + model.codes[32]] < 0, state,
-                        flat[state * width + model.codes[32]])
-    for p in range(int(size[0])):
-        n = int(np.searchsorted(-size, -p, side="left"))
-        code = model.codes[words.data[starts[:n] + p]][:, None]
-        to = flat[state[:n] * width + code]
-        failed = to < 0
-        again = flat[model.roots[None, :] * width + code]
+    for p in range(int(sizes[0])):
+        n = int(np.searchsorted(-sizes, -p, side="left"))
+        code = codes[starts[:n] + p]
+        to = flat[state[:n] * width + code[:, None]]
         # A failed step ends the piece before it; a letter no text has is a piece by itself.
-        count[:n] += (failed & (state[:n] != model.roots[None, :])).astype(np.int64)
-        count[:n] += again < 0
-        state[:n] = np.where(failed, np.where(again < 0, model.roots[None, :], again), to)
-    count += state != model.roots[None, :]
-    per_word = np.empty_like(count)
-    per_word[at_order] = count
+        row, column = np.nonzero(to < 0)
+        if len(row):
+            count[row, column] += state[row, column] != model.roots[column]
+            again = first[code[row], column]
+            unknown = again < 0
+            count[row, column] += unknown
+            to[row, column] = np.where(unknown, model.roots[column], again)
+        state[:n] = to
+    count += state != roots
     for k in range(len(model.languages)):
-        pieces[:, k] = np.bincount(words.texts, per_word[which, k], len(texts))
+        pieces[:, k] = np.bincount(owner, count[:, k], len(texts))
     return pieces, letters
 
 
+def _excerpt(text: str, most: int) -> bytes:
+    """Up to ``most`` bytes of the words of a text, whole ones unless the first is too long."""
+    words = letters_only(text).split()
+    if len(words) > 2:
+        words = words[1:-1]  # The text may have been cut inside them.
+    out = b""
+    for word in words:
+        if len(out) + 1 + len(word) > most:
+            break
+        out += b" " + word
+    if not out and words and most > 1:
+        out = b" " + words[0][: most - 1].decode("utf-8", "ignore").encode()
+    return out
+
+
+def shared_out(texts: list[str], most: int) -> bytes:
+    """About ``most`` bytes of some texts, in equal parts; what short ones leave goes to the others."""
+    by_size = sorted(range(len(texts)), key=lambda i: (len(texts[i].encode("utf-8", "replace")), i))
+    out: dict[int, bytes] = {}
+    left = most
+    for done, i in enumerate(by_size):
+        out[i] = _excerpt(texts[i], left // (len(texts) - done))
+        left -= len(out[i])
+    return b"".join(out[i] for i in range(len(texts)))
+
+
 def train(docs: DataFrame, folds: int = 4, held: int = 2) -> Automata:
     """Automata from the texts and labels of documents outside fold ``held``.
 
-    Rows with a null doc_id, text or lang are left out. Of each language the
-    documents that come first in hash order are taken until ``TRAIN_BYTES``.
+    Rows with a null doc_id, text or lang, and empty texts, are left out. Of each
+    language the documents that come first in hash order are taken, however long
+    they are, and give equal parts of ``TRAIN_BYTES``.
     """
     known = (
         docs.select("doc_id", "text", "lang")
-        .where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-        .where(fold("doc_id", folds) != held).where(F.length("text").between(1, TRAIN_CHARS))
+        .where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL AND text != ''")
+        .where(fold("doc_id", folds) != held)
         .withColumn("place", F.xxhash64(F.lit("sample"), "doc_id", "text"))
     )
     counts = store(known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
@@ -165,16 +223,15 @@ def train(docs: DataFrame, folds: int = 4, held: int = 2) -> Automata:
     few = known.join(per_language, "lang").where(share * F.col("rows") < 3 * SAMPLE_DOCS)
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     few = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
-    texts: dict[str, list[bytes]] = {}
-    rows = few.select("lang", "n", "text").toArrow().to_pylist()
+    room = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1
+    begin = F.pmod(F.xxhash64("place"), room.cast("bigint")).cast("int") + 1
+    run = F.substring(F.col("text"), begin, F.lit(TRAIN_CHARS)).alias("text")
+    texts: dict[str, list[str]] = {}
+    rows = few.select("lang", "n", run).toArrow().to_pylist()
     for row in sorted(rows, key=lambda r: (r["lang"], r["n"])):
-        texts.setdefault(row["lang"], []).append(b" " + b" ".join(letters_only(row["text"]).split()))
+        texts.setdefault(row["lang"], []).append(row["text"])
     most = min(TRAIN_BYTES, TRAIN_BYTES_ALL // max(1, len(texts)))
-    cut = {}
-    for language, parts in texts.items():
-        # Equal shares of many documents: one odd document cannot fill an automaton.
-        each = max(most // len(parts), 200)
-        cut[language] = b"".join(p[:each] for p in parts)[:most]
+    cut = {language: shared_out(parts, most) for language, parts in texts.items()}
     return build({language: text for language, text in cut.items() if text.strip()})
 
 

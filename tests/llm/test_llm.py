@@ -304,6 +304,58 @@ def test_pieces_equal_greedy_parse():
     assert langid.count_pieces(model, [word])[0][0, 0] == pieces
 
 
+def greedy(text, rest):
+    pieces = 0
+    while rest:
+        n = max([k for k in range(1, len(rest) + 1) if rest[:k] in text], default=1)
+        pieces, rest = pieces + 1, rest[n:]
+    return pieces
+
+
+def test_pieces_cross_words():
+    text = b" the cat sat on the mat and the dog sat by the cat"
+    model = langid.build({"x": text, "y": b" le chat et le chien"})
+    lines = [b"the cat sat", b"the dog  sat on the mat", b"cat the zebra's mat", b"le chat sat", b"", b"  "]
+    pieces, letters = langid.count_pieces(model, lines)
+    assert pieces[0, 0] == 1 and letters.tolist()[:2] == [9, 17]
+    for line, own in zip(lines, pieces, strict=True):
+        run = b" " + b" ".join(line.split()) if line.strip() else b""
+        assert own.tolist() == [greedy(text, run), greedy(b" le chat et le chien", run)]
+
+
+def test_long_texts_are_parsed_in_segments():
+    random = np.random.default_rng(3)
+    words = [b"cat", b"dog", b"the", b"sat", b"zebra"]
+    text = b" " + b" ".join(words[k] for k in random.integers(0, 5, 60))
+    model = langid.build({"x": text})
+    long = b" ".join(words[k] for k in random.integers(0, 5, 5_000)) + b" " + b"q" * 3_000
+    pieces = langid.count_pieces(model, [long])[0][0, 0]
+    whole = greedy(text, b" " + long)
+    assert whole <= pieces <= whole + (len(long) + 1) / (langid.SEGMENT - 6) + 1
+
+
+def test_languages_of_long_documents_only(spark):
+    """A label whose documents are all very long is learned and predicted."""
+    random = np.random.default_rng(7)
+    words = {"en": "the and of to in house water people time year", "fr": "le la et dans maison eau gens temps année où"}
+    rows = []
+    for i in range(80):
+        lang = ("en", "fr")[i % 2]
+        own = words[lang].split()
+        rows.append((i, " ".join(own[k] for k in random.integers(0, 10, 40 if lang == "en" else 4_000)), lang))
+    got = langid.languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert all(r.lang_pred == ("en", "fr")[r.doc_id % 2] for r in got)
+    model = langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.languages == ["en", "fr"]
+
+
+def test_excerpts_are_whole_characters_and_use_the_room():
+    texts = ["é" * 500, "one two three four", "alpha beta gamma delta " * 50, "", "…"]
+    cut = langid.shared_out(texts, 300)
+    cut.decode("utf-8")
+    assert 250 < len(cut) <= 300 and b"two three" in cut
+
+
 def test_separator_scan(spark, docs, odd, none):
     lines = map(bytes.split, open(separators.VOCABULARY, "rb").read().splitlines())
     import base64
