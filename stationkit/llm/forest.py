@@ -489,11 +489,11 @@ def _in_leaves(placed: DataFrame, least: float) -> list[DataFrame]:
 def _into_balls(placed: DataFrame, least: float) -> DataFrame:
     """Links between the members of a ball and vectors outside it that are near enough."""
     visitors = placed.select("id", "size", "vector", F.explode("visits").alias("ball"))
-    guests = _blocks(visitors, ["ball"], "guests")
-    visited = placed.where("ball >= 0").join(guests, "ball", "left_semi")
+    # At most one row for each ball, and balls are bounded by the sample.
+    guests = store(_blocks(visitors, ["ball"], "guests"), "ball-guests").df
+    visited = placed.where("ball >= 0").join(F.broadcast(guests), "ball", "left_semi")
     hosts = _blocks(visited, ["ball"], "hosts")
-    sized = store(guests.join(hosts, "ball"), "ball-blocks").df
-    sized = F.broadcast(sized)  # At most one row for each ball, and balls are bounded by the sample.
+    sized = F.broadcast(store(guests.join(hosts, "ball"), "ball-blocks").df)
     members = visited.join(sized, "ball").select(
         "ball", F.pmod(F.xxhash64("id"), F.col("hosts")).alias("host"), _upto("guests").alias("guest"),
         F.lit(0).alias("side"), "id", "size", "vector",

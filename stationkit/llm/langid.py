@@ -24,10 +24,10 @@ from stationkit.plans.stored import store
 # Labelled text per language, and for all languages together, in bytes. This bounds the
 # automata. It comes from up to SAMPLE_DOCS documents of any length per language; of a long one a
 # run of up to TRAIN_CHARS characters from a place that a hash chooses is looked at.
-TRAIN_BYTES = 24_000
+TRAIN_BYTES = 32_000
 TRAIN_BYTES_ALL = 128_000
-TRAIN_CHARS = 2_000
-SAMPLE_DOCS = 150
+TRAIN_CHARS = 1_000
+SAMPLE_DOCS = 600
 # Bytes that are parsed in one go; segments end between words where there are any.
 SEGMENT = 512
 # A table of languages with up to so many rows is broadcast.

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,13 +21,11 @@ from stationkit.llm import (
     warc,
     whitening,
 )
-
-_ROOT = str(Path(__file__).resolve().parents[2])
-
+from stationkit.plans.shipping import ship
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables. Python workers look for this package where the driver has it."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    """One of the given tables. Python workers are given this package."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
