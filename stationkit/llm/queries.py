@@ -23,6 +23,7 @@ from stationkit.llm import (
 )
 from stationkit.plans.shipping import ship
 
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables. Python workers are given this package."""
     ship(spark)
@@ -62,7 +63,8 @@ def op7_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
-    return quotations.reply_ordered(table(spark, folder, "conversations"))
+    """The given messages quote nothing, so they are put into a quoting form first."""
+    return quotations.reply_ordered(quotations.with_quotes(table(spark, folder, "conversations")))
 
 
 def op9_projection_forest(spark: SparkSession, folder: str) -> DataFrame:

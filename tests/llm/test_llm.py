@@ -1,6 +1,7 @@
 """The training-data operators against brute force, their SQL, and odd inputs."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -398,6 +399,59 @@ def test_quotations(spark):
     assert quotations.reply_ordered(table.limit(0)).count() == 0
 
 
+def replies(spark, rows):
+    kind = "conv_id bigint, turn bigint, role string, text string, level int, hash int, row int"
+    table = spark.createDataFrame([(c, t, "u", x, 0, 0, 0) for c, t, x in rows], kind)
+    got = quotations.reply_ordered(table.repartition(3)).collect()
+    assert len(got) == len(rows)
+    return {(r.conv_id, r.turn): (r.reply_to, r.quoted, r.linked) for r in got}
+
+
+def test_quotes_are_passages(spark):
+    """Rewrapped and partial quotes, two levels, common phrases, a quote that nobody said."""
+    first = "The pump at the north gate lost pressure on Monday evening\nand nobody noticed it until the alarm rang."
+    second = "Yes I will look at the pump tomorrow morning before the shift begins."
+    rows = [
+        (1, 0, first), (1, 1, "Yes"), (1, 2, second),
+        (1, 3, "> the pump at the north gate\n> lost pressure on Monday\n> evening and nobody noticed\nSince when?"),
+        (1, 4, "> > The pump at the north gate lost\n> > pressure on Monday evening\n> Since when?\nSunday."),
+        (1, 5, "> yes\nGood."),
+        (1, 6, "> Yes I will look at the pump\n> tomorrow morning\n>\n> before the shift begins\nThanks."),
+        (1, 7, "> something entirely different that was never said here\nWhat?"),
+        (2, 0, second), (2, 1, "> the pump at the north gate lost pressure\nAnother conversation."),
+    ]
+    got = replies(spark, rows)
+    assert got[1, 3] == (0, 1, 1) and got[1, 4] == (3, 2, 2) and got[1, 5] == (1, 1, 1)
+    assert got[1, 6] == (2, 2, 2) and got[1, 7] == (6, 1, 0) and got[2, 1] == (0, 1, 0)
+
+
+def test_a_repeated_text_links_to_its_last_sayer(spark):
+    """Very many equal messages and quotes of them in one conversation; a very long text."""
+    text = "all sensors of the lower basin are working again"
+    rows = [(1, t, f"> {text}\n{text}") for t in range(400)]
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows += [(2, 0, long), (2, 1, "x"), (2, 2, "\n".join("> " + long[i : i + 700] for i in range(0, 7_000, 700)) + "\nok")]
+    got = replies(spark, rows)
+    assert got[1, 0] == (None, 1, 0) and all(got[1, t] == (t - 1, 1, 1) for t in range(1, 400))
+    assert got[2, 2] == (0, 1, 1)
+
+
+def test_the_given_messages_in_quoting_form(spark):
+    rows = [(1, t, " ".join(f"c{t}w{i}" for i in range(40))) for t in range(8)] + [(None, 1, "a b"), (1, 9, None), (3, 0, "")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string").withColumn("role", F.lit("u"))
+    shown = quotations.with_quotes(table)
+    assert shown.columns == table.columns and shown.count() == len(rows)
+    got = {r.turn: r for r in quotations.reply_ordered(shown).where("conv_id = 1").collect()}
+    texts = {r.turn: r.text for r in shown.where("conv_id = 1").collect()}
+    quoting = [t for t in range(8) if texts[t].startswith(">")]
+    assert quoting and any("\n> " in texts[t] and texts[t].startswith("> > ") for t in quoting)
+    for t in quoting:
+        of = int(re.search(r"^> c(\d)w", texts[t], re.M)[1])
+        assert got[t].reply_to == of and got[t].linked == got[t].quoted > 0
+    assert all(got[t].own_text == " ".join(f"c{t}w{i}" for i in range(40)) for t in range(8))
+    assert quotations.with_quotes(table.limit(0)).count() == 0
+
+
 def test_quotations_long_conversation(spark):
     table = spark.range(1000).selectExpr("1 AS conv_id", "id AS turn", "'u' AS role", "'hi' AS text")
     got = quotations.reply_ordered(table).collect()
