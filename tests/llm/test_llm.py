@@ -416,7 +416,7 @@ def test_quotes_are_passages(spark):
         (1, 3, "> the pump at the north gate\n> lost pressure on Monday\n> evening and nobody noticed\nSince when?"),
         (1, 4, "> > The pump at the north gate lost\n> > pressure on Monday evening\n> Since when?\nSunday."),
         (1, 5, "> yes\nGood."),
-        (1, 6, "> Yes I will look at the pump\n> tomorrow morning\n>\n> before the shift begins\nThanks."),
+        (1, 6, "> Yes I will look at the pump\n> tomorrow morning\n>\n> before the shift begins.\nThanks."),
         (1, 7, "> something entirely different that was never said here\nWhat?"),
         (2, 0, second), (2, 1, "> the pump at the north gate lost pressure\nAnother conversation."),
     ]
