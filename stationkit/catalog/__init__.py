@@ -1,6 +1,7 @@
 """Named queries over the given tables, with equivalent SQL where SQL can say it."""
 
 from stationkit.catalog import (
+    chain,
     cleaning,
     cubes,
     features,
@@ -23,4 +24,5 @@ QUERIES: dict[str, Query] = {
     **temporal.QUERIES,
     **cubes.QUERIES,
     **tables.QUERIES,
+    **chain.QUERIES,
 }

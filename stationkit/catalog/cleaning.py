@@ -27,6 +27,12 @@ ingested AS (
   FROM stripped JOIN caps ON label = trim(pollutant)
   WHERE trim(city) <> '' AND trim(location) <> '' AND value BETWEEN 0 AND cap)"""
 
+_NORMAL = f"""{_SLUG.format("city")} AS city, {_SLUG.format("location")} AS location,
+  regexp_replace(upper(pollutant), '[^A-Z0-9]', '_', 'g') AS pollutant"""
+# The cleaned readings under the name of the given ones, for the queries of the whole chain.
+CLEANED = f"""{_INGESTED},
+readings AS (SELECT DISTINCT {_NORMAL}, value, last_updated FROM ingested)"""
+
 
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "csv")
@@ -185,10 +191,7 @@ QUERIES = {
     "ingest_clean": Query(ingest_clean, f"WITH {_INGESTED} SELECT {_FIVE} FROM ingested"),
     "clean_readings": Query(
         clean_readings,
-        f"""WITH {_INGESTED} SELECT DISTINCT {_SLUG.format("city")} AS city,
-        {_SLUG.format("location")} AS location,
-        regexp_replace(upper(pollutant), '[^A-Z0-9]', '_', 'g') AS pollutant,
-        {r4("value")}, last_updated FROM ingested""",
+        f"""WITH {_INGESTED} SELECT DISTINCT {_NORMAL}, {r4("value")}, last_updated FROM ingested""",
     ),
     "blank_to_null": Query(blank_to_null, f"WITH {_BLANKED} SELECT {_FIVE} FROM blanked"),
     "drop_missing": Query(

@@ -62,7 +62,7 @@ _DOUBLES = {
     "value", "avg_value", "max_value", "min_value", "global_index", "rolling_mean_3h",
     "rolling_max_3h", "rolling_min_3h", "value_z_score_by_pollutant",
 }
-_ALL = ", ".join(r4(c) if c in _DOUBLES else c for c in ops.FEATURE_COLUMNS)
+ALL_FEATURES = ", ".join(r4(c) if c in _DOUBLES else c for c in ops.FEATURE_COLUMNS)
 
 QUERIES = {
     "calendar_features": Query(
@@ -98,5 +98,5 @@ QUERIES = {
                      RANGE BETWEEN 10800 PRECEDING AND CURRENT ROW))
         SELECT {_FIVE}, ts, {_ROLLED} FROM rolled""",
     ),
-    "feature_table": Query(feature_table, f"WITH {FEATURES} SELECT {_ALL} FROM features"),
+    "feature_table": Query(feature_table, f"WITH {FEATURES} SELECT {ALL_FEATURES} FROM features"),
 }
