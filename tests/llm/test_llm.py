@@ -524,3 +524,19 @@ def test_pipeline_keeps_columns(spark, docs):
         out = stage(spark, table, FOLDER)
         assert out.columns == table.columns and 0 < out.count() <= table.count()
     assert pa.__version__ and corpus_pipeline.STAGES[-1][1](spark, table, FOLDER).count() == 200
+
+
+def test_pipeline_run_applies_its_stages_in_turn(spark, tmp_path):
+    """Each stage on what the one before has kept; nothing comes back, and the last takes all that is left."""
+    import corpus_pipeline
+
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, rows, FOLDER).write.parquet(str(tmp_path / str(number)))
+        rows = spark.read.parquet(str(tmp_path / str(number)))
+        kept.append({r.doc_id for r in rows.select("doc_id").collect()})
+    assert all(after <= before for before, after in zip(kept, kept[1:], strict=False))
+    assert kept[-1] == kept[-2] and len(kept[2]) < len(kept[1])
+    got = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, rows.collect()))
