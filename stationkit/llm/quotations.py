@@ -170,25 +170,29 @@ def with_quotes(messages: DataFrame) -> DataFrame:
 
 
 def _depths(parents: DataFrame) -> DataFrame:
-    """Columns ``conv_id, turn, root, depth``: pointers are doubled until all reach a root."""
+    """Columns ``conv_id, turn, root, depth``: pointers are doubled until all reach a root.
+
+    Only messages that have not reached one take part in a round, so a single
+    long conversation does not make the short ones go round again.
+    """
+    first = F.col("parent").isNull()
     rows = parents.select(
         "conv_id", "turn", F.coalesce("parent", "turn").alias("root"),
-        F.col("parent").isNotNull().cast("bigint").alias("depth"),
+        F.col("parent").isNotNull().cast("bigint").alias("depth"), first.alias("done"),
     )
-    table = store(rows, "replies", far=F.max("depth"))
-    before = -1
-    while table.rows and table.seen["far"] != before:
-        before = table.seen["far"]
+    waiting = {"waiting": F.count_if(~F.col("done"))}
+    table = store(rows, "replies", **waiting)
+    while table.rows and table.seen["waiting"]:
         up = table.df.select(
             "conv_id", F.col("turn").alias("root"), F.col("root").alias("above"),
-            F.col("depth").alias("more"),
+            F.col("depth").alias("more"), F.col("done").alias("top"),
         )
-        rows = table.df.join(up, ["conv_id", "root"]).select(
+        moved = table.df.where("NOT done").join(up, ["conv_id", "root"]).select(
             "conv_id", "turn", F.col("above").alias("root"),
-            (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("depth") + F.col("more")).alias("depth"), F.col("top").alias("done"),
         )
-        table = store(rows, "replies", far=F.max("depth"))
-    return table.df
+        table = store(table.df.where("done").unionByName(moved), "replies", **waiting)
+    return table.df.drop("done")
 
 
 def reply_ordered(messages: DataFrame) -> DataFrame:
