@@ -9,6 +9,7 @@ the mean over lines, weighted by their length, becomes the score of the document
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from stationkit.llm.arrays import blocks, split_words, text_bytes
 
-# The field is fitted on at most this many labelled documents of at most so many lines.
+# The field is fitted on at most this many labelled documents and so many lines of each.
 TRAIN_DOCS = 4000
 TRAIN_LINES = 200
 # A document is kept from this score on.
@@ -73,7 +74,10 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     sizes = ends - starts
     if len(ends) > 1:
         same = np.zeros(len(ends), dtype=bool)
-        for i in np.flatnonzero((sizes[1:] == sizes[:-1]) & (sizes[1:] > 0)) + 1:
+        # A text's first line has none before it, whatever text comes before in the block.
+        alike = (sizes[1:] == sizes[:-1]) & (sizes[1:] > 0)
+        alike[np.cumsum(counts)[:-1] - 1] = False
+        for i in np.flatnonzero(alike) + 1:
             same[i] = (
                 data[starts[i] : ends[i]].tobytes() == data[starts[i - 1] : ends[i - 1]].tobytes()
             )
@@ -222,8 +226,11 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> LineField:
     """Fit the field on labelled documents outside fold 0.
 
     Rows without doc_id, text or label are left out; a document with several
-    labels takes the smallest. The sample is the ``TRAIN_DOCS`` documents that
-    come first in hash order, of those those with at most ``TRAIN_LINES`` lines.
+    labels takes the smallest, one with several texts the smallest of those. The
+    sample is the ``TRAIN_DOCS`` documents that come first in hash order. Of a
+    document with more than ``TRAIN_LINES`` lines that many in a row are used,
+    from a line that the hash of its text picks, so that no document is too long
+    to be learned from.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -231,29 +238,35 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> LineField:
         .groupBy("doc_id").agg(F.min("quality").cast("double").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     )
-    picked = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+    picked = (
+        docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    )
 
-    def run(batches):
+    def sampled(batches):
         for batch in batches:
             texts = text_bytes(batch.column("text"))
             for begin, end in blocks(texts):
                 rows, length, counts = line_features(texts[begin:end])
-                first = np.cumsum(counts) - counts
-                short = [i for i, n in enumerate(counts) if n <= TRAIN_LINES]
+                begins = np.cumsum(counts) - counts
+                used = np.minimum(counts, TRAIN_LINES)
+                for i, (n, m) in enumerate(zip(counts, used, strict=True)):
+                    begins[i] += crc32(texts[begin + i]) % int(n - m + 1)
+                runs = [slice(a, a + m) for a, m in zip(begins, used, strict=True)]
                 yield pa.RecordBatch.from_pylist(
                     [
                         {
                             "quality": batch.column("quality")[begin + i].as_py(),
-                            "lines": rows[first[i] : first[i] + counts[i]].ravel().tolist(),
-                            "length": length[first[i] : first[i] + counts[i]].tolist(),
+                            "lines": rows[run].ravel().tolist(),
+                            "length": length[run].tolist(),
                         }
-                        for i in short
+                        for i, run in enumerate(runs)
                     ],
                     pa.schema([("quality", pa.float64()), ("lines", pa.list_(pa.float64())),
                                ("length", pa.list_(pa.float64()))]),
                 )
 
-    sample = picked.mapInArrow(run, "quality double, lines array<double>, length array<double>")
+    sample = picked.mapInArrow(sampled, "quality double, lines array<double>, length array<double>")
     sample = sorted(sample.toArrow().to_pylist(), key=lambda r: (r["quality"], r["lines"]))
     counts = np.array([len(r["length"]) for r in sample], dtype=np.int64)
     lines = np.array([v for r in sample for v in r["lines"]], dtype=np.float64)
