@@ -28,6 +28,8 @@ RARE_SHARE = 1e-3
 # Share of the highest possible alignment score from which a document holds an item.
 LEAST_SCORE = 0.5
 MATCH, CHANGE, GAP = 2, -1, -1
+# Windows are aligned in tables of about this many words.
+CELLS = 1 << 18
 # Test items are worked on in blocks of about this many characters.
 ITEM_CHARS = 2_000_000
 
@@ -123,7 +125,7 @@ def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def find_items(items: Items, texts: list[bytes]) -> list[tuple[int, int, float, int, int, int]]:
     """(text number, item id, score, first word, last word, seeds) of all items found.
 
-    For each text and item the best place counts.
+    For each text and item the best place counts, of equal ones the first.
     """
     words = plain_words(texts)
     spots = []
@@ -152,10 +154,25 @@ def find_items(items: Items, texts: list[bytes]) -> list[tuple[int, int, float,
     text_first = words.firsts[text]
     begin = np.maximum(spots[group, 2] - pad[item], text_first)
     stop = np.minimum(spots[final, 2] + size[item] + pad[item], text_first + words.counts[text])
+    # An alignment that counts is at most twice as wide as its item, so it lies whole
+    # in one of the pieces into which a longer window is cut.
+    wide = 4 * size[item] + 2 * pad[item]
+    step = wide - 2 * size[item]
+    pieces = np.maximum(-((begin + wide - stop) // step) + 1, 1)
+    whole = np.repeat(np.arange(len(group)), pieces)
+    nth = np.arange(len(whole)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = begin[whole] + nth * step[whole]
+    stop = np.minimum(begin + wide[whole], stop[whole])
+    text, item, seeds_in, width = text[whole], item[whole], seeds_in[whole], stop - begin
     best: dict[tuple[int, int], tuple[float, int, int, int]] = {}
-    for k in np.unique(item):
-        for part in np.array_split(np.flatnonzero(item == k), (item == k).sum() // 256 + 1):
-            long = int((stop[part] - begin[part]).max())
+    order = np.lexsort((-width, item))
+    for own in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+        k, done = int(item[own[0]]), 0
+        while done < len(own):
+            # The longest comes first and tells how many fit into one table.
+            long = int(width[own[done]])
+            part = own[done : done + max(CELLS // long, 1)]
+            done += len(part)
             grid = begin[part][:, None] + np.arange(long)
             inside = grid < stop[part][:, None]
             rows = np.where(inside, words.hashes[np.minimum(grid, len(words.hashes) - 1)], 0)
@@ -174,7 +191,7 @@ def find_items(items: Items, texts: list[bytes]) -> list[tuple[int, int, float,
                 offset = int(begin[part[g]] - words.firsts[t])
                 found = (float(share[g]), offset + int(end[g] - r), offset + int(end[g]),
                          int(seeds_in[part[g]]))
-                if (t, k) not in best or found[0] > best[t, k][0]:
+                if (t, k) not in best or (found[0], -found[1]) > (best[t, k][0], -best[t, k][1]):
                     best[t, k] = found
     return [(t, items.ids[k], *found) for (t, k), found in best.items()]
 
