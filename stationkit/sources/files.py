@@ -27,7 +27,7 @@ def _in_file_order(
         needed = [c for c in schema.names if schema != RAW_SCHEMA or c in RAW_TO_READING]
     lacking = [c for c in needed if c not in header]
     if lacking:
-        raise ValueError(f"header {header} lacks the columns {lacking}")
+        raise ValueError(f"header {header} does not name the columns {lacking}")
     return T.StructType([fields.get(c, T.StructField(c, T.StringType())) for c in header])
 
 
