@@ -76,6 +76,20 @@ def test_a_hub_makes_no_wedges(spark):
     assert paths.triangles(graph(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_triangles_in_groups_of_colours(spark, monkeypatch, kind):
+    """Paths in small parts and many groups, each triangle counted in one; only edges cross the network."""
+    monkeypatch.setattr(paths, "PATHS_AT_ONCE", 5)
+    monkeypatch.setattr(paths, "GROUP_EDGES", 10)
+    n = 14
+    whole = spark.createDataFrame([(a, b) for a in range(n) for b in range(a)], "src bigint, dst bigint")
+    found = paths.triangles(whole.select(*(F.col(c).cast(kind).alias(c) for c in whole.columns)))
+    assert {(r.degree, r.triangles, r.clustering) for r in found.collect()} == {(n - 1, (n - 1) * (n - 2) // 2, 1.0)}
+    assert found.count() == n and found.schema["vertex"].dataType.simpleString() == kind
+    shuffled = found._jdf.queryExecution().executedPlan().toString()
+    assert "_other" not in shuffled and "MapInArrow" in shuffled
+
+
 def breadth_first(near, source):
     reached, front = {source: 0}, [source]
     while front:
@@ -106,3 +120,27 @@ def test_a_long_chain_and_a_limit(spark):
     assert got == {i: i for i in range(41)}
     assert paths.hops(chain, sources, True, most=3).count() == 4
     assert paths.hops(chain.limit(0), sources).count() == 1
+
+
+def test_hops_from_more_sources_than_a_block_holds(spark, monkeypatch):
+    """A ring with a spoke to each vertex; rounds hold a row for many sources."""
+    monkeypatch.setattr(paths, "WORDS", 2)
+    n = 300
+    rows = [(i, (i + 1) % n, "") for i in range(n)] + [(i, n, "") for i in range(n)]
+    near = {}
+    for a, b, _ in rows:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    got = paths.hops(graph(spark, rows), spark.range(n)).collect()
+    expected = {(s, v, d) for s in range(n) for v, d in breadth_first(near, s).items()}
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
+def test_sources_travel_together(spark, monkeypatch):
+    """128 sources with the same way to go make one row a vertex and round, not 128."""
+    folders = []
+    monkeypatch.setattr(paths, "fresh_path", lambda s, label, f=paths.fresh_path: folders.append(f(s, label)) or folders[-1])
+    rows = [(i, 500, "") for i in range(128)] + [(500, 501, ""), (501, 502, "")]
+    got = paths.hops(graph(spark, rows), spark.range(128), True)
+    assert got.count() == 128 * 4
+    assert spark.read.parquet(f"{folders[0]}/round=*").where("vertex >= 500").count() == 3
