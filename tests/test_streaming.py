@@ -176,6 +176,21 @@ def test_watch_over_batches(spark, make_readings, tmp_path):
     assert {r[:3]: r[4] for r in found if r[3] == "quiet" and r[4] == last[r[:3]]} == last
 
 
+def test_watch_handles_rows_and_asks_a_new_series_for_no_timers():
+    from unittest.mock import MagicMock
+
+    from stationkit.streaming import watch
+
+    series = watch.SeriesWatch(100, 2)
+    series.handle, series.state = MagicMock(), MagicMock()
+    series.state.get.return_value = None
+    rows = [{"at": 7, "value": 1.0}, {"at": 3, "value": 1.0}, {"at": 500, "value": 2.0}]
+    found = [tuple(r) for r in series.handleInputRows(("c", "l", "p"), iter(rows), None)]
+    assert found == [("c", "l", "p", "stuck", 3, 7, 1.0), ("c", "l", "p", "silence", 7, 500, 1.0)]
+    series.handle.listTimers.assert_not_called()
+    series.state.update.assert_called_once_with((500, 2.0, 500, 1))
+
+
 def test_watch_needs_two(spark):
     import pytest
     from stationkit.streaming import watch
