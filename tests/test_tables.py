@@ -144,3 +144,65 @@ def test_sources_travel_together(spark, monkeypatch):
     got = paths.hops(graph(spark, rows), spark.range(128), True)
     assert got.count() == 128 * 4
     assert spark.read.parquet(f"{folders[0]}/round=*").where("vertex >= 500").count() == 3
+
+
+def scattered_parts(n=260):
+    """A dense part, a long chain with falling numbers, many pairs, and sources in each and in none."""
+    rnd = random.Random(5)
+    rows = [(rnd.randrange(60), rnd.randrange(60), "") for _ in range(200)]
+    rows += [(1_000 - i, 999 - i, "") for i in range(12)] + [(2_000 + 2 * i, 2_001 + 2 * i, "") for i in range(n)]
+    sources = [*range(0, 60, 2), 1_000, 990, 5_000, 5_001, *range(2_000, 2_000 + 2 * n, 3)]
+    near = {}
+    for a, b, _ in rows:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    return rows, sources, near
+
+
+def test_components(spark):
+    rows, _, near = scattered_parts()
+    both = spark.createDataFrame([(a, b) for a, own in near.items() for b in own], "vertex bigint, _next bigint")
+    found = {r.vertex: r.component for r in paths.components(paths.store(both, "steps")).df.collect()}
+    assert found.keys() == near.keys()
+    least = {v: min(breadth_first(near, v)) for v in near}
+    pairs = {(least[v], found[v]) for v in near}
+    assert len(pairs) == len(set(least.values())) == len({c for _, c in pairs})
+    empty = paths.components(paths.store(both.limit(0), "steps"))
+    assert empty.rows == 0 and empty.df.columns == ["vertex", "component"]
+
+
+@pytest.mark.parametrize("edges,bits,pairs", [(1 << 22, 1 << 22, 1 << 22), (80, 60, 200)])
+def test_hops_by_component(spark, monkeypatch, edges, bits, pairs):
+    """Components whole, in bundles, or too large for a task; few sources and places at a time."""
+    monkeypatch.setattr(paths, "COMPONENT_EDGES", edges)
+    monkeypatch.setattr(paths, "BITS_AT_ONCE", bits)
+    monkeypatch.setattr(paths, "PAIRS_AT_ONCE", pairs)
+    rows, sources, near = scattered_parts()
+    given = spark.createDataFrame([(s,) for s in sources], "s bigint")
+    got = paths.hops(graph(spark, rows), given).collect()
+    expected = {(s, v, d) for s in sources for v, d in breadth_first(near, s).items()}
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
+def test_components_are_walked_without_rounds(spark, monkeypatch):
+    """No round of vertices and sources is stored where components fit in a task."""
+    monkeypatch.setattr(paths, "_rounds", lambda *_: pytest.fail("rounds"))
+    rows, sources, near = scattered_parts(20)
+    given = spark.createDataFrame([(s,) for s in sources], "s bigint")
+    assert paths.hops(graph(spark, rows), given).count() == sum(len(breadth_first(near, s)) for s in sources)
+
+
+def test_hops_takes_all_orders(spark, tmp_path):
+    """Two customers with one order each, of keys that the query once left out."""
+    from stationkit.catalog import QUERIES
+
+    def put(name, rows, kind):
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    put("lineitem", [(1, 1, 1, 9.0), (1, 2, 2, 5.0), (2, 2, 1, 1.0)],
+        "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double")
+    put("orders", [(1, 10), (2, 10)], "o_orderkey bigint, o_custkey bigint")
+    put("supplier", [(1,), (2,)], "s_suppkey bigint")
+    got = {tuple(r) for r in QUERIES["hops"].run(spark, str(tmp_path)).collect()}
+    assert got == {(3, 3, 0), (3, 20, 1), (3, 5, 2), (5, 5, 0), (5, 20, 1), (5, 3, 2)}
