@@ -4,6 +4,7 @@ import itertools
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from stationkit.operators import paths, versions
@@ -90,6 +91,29 @@ def test_triangles_in_groups_of_colours(spark, monkeypatch, kind):
     assert "_other" not in shuffled and "MapInArrow" in shuffled
 
 
+def test_edges_of_a_group_come_in_few_sorted_lists():
+    """Ten batches are dealt out together; numbers of a list rise, so that they pack well."""
+    rnd = random.Random(6)
+    edges = [(rnd.randrange(100), rnd.randrange(100, 200)) for _ in range(300)]
+    batches = [
+        pa.RecordBatch.from_pydict({"low": [a for a, _ in some], "high": [b for _, b in some],
+                                    "_i": [a % 6 for a, _ in some], "_j": [b % 6 for _, b in some]})
+        for some in itertools.batched(edges, 30)
+    ]
+    dealt = [row for batch in paths._deal(6)(iter(batches)) for row in batch.to_pylist()]
+    assert len({row["group"] for row in dealt}) == len(dealt)
+    lists = [list(zip(row["low"], row["high"], strict=True)) for row in dealt]
+    assert all(some == sorted(some) for some in lists)
+    assert Counter(itertools.chain(*lists)) == {e: 6 * n for e, n in Counter(edges).items()}
+
+
+@pytest.mark.parametrize("shift", [0, 1 << 40, -(1 << 40)])
+def test_triangles_of_small_and_large_numbers(spark, shift):
+    rows = [(a + shift, b + shift, "") for a, b in ((1, 2), (2, 3), (1, 3), (3, 4))]
+    got = {tuple(r)[:3] for r in paths.triangles(graph(spark, rows)).collect()}
+    assert got == {(v + shift, d, t) for v, d, t in ((1, 2, 1), (2, 2, 1), (3, 3, 1), (4, 1, 0))}
+
+
 def breadth_first(near, source):
     reached, front = {source: 0}, [source]
     while front:
